@@ -51,8 +51,8 @@ def compare(spark, con, name, query, sql, sf):
         return False, f"columns {sorted(df.columns)} != {sorted(columns)}", took
     left, right = canonical_rows(df.columns, mine), canonical_rows(columns, theirs)
     if left != right:
-        only_left = [r for r in left if r not in set(right)][:3]
-        only_right = [r for r in right if r not in set(left)][:3]
+        only_left = sorted(set(left) - set(right))[:3]
+        only_right = sorted(set(right) - set(left))[:3]
         return False, f"{len(left)} vs {len(right)} rows; spark {only_left} sql {only_right}", took
     return True, f"{len(left)} rows equal, {took:.1f}s (sql {duck_took:.1f}s)", took
 

@@ -7,7 +7,9 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tillwork.operators.prefix import dense_index
 from tillwork.operators.quantiles import exact_quantiles
 
 # A literal lookup stays in the plan and in every task, so it must stay small.
@@ -17,13 +19,16 @@ LITERAL_LABELS = 2_000
 def label_table(df: DataFrame, column: str) -> DataFrame:
     """Sorted distinct values numbered from 0: (label, code).
 
-    The numbering is a distributed one: values are counted per range of the sort order and each
-    range starts at the number of values before it.
+    A few values are sorted on the driver; beyond ``LITERAL_LABELS`` the numbering is a
+    distributed one.
     """
-    from tillwork.operators.prefix import dense_index
-
     labels = df.select(F.col(column).alias("label")).where(F.col("label").isNotNull()).distinct()
-    return dense_index(labels, "label", "code")
+    few = labels.limit(LITERAL_LABELS + 1).collect()
+    if len(few) > LITERAL_LABELS:
+        return dense_index(labels, "label", "code")
+    rows = [(label, code) for code, label in enumerate(sorted(r.label for r in few))]
+    schema = T.StructType([labels.schema["label"], T.StructField("code", T.LongType())])
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
@@ -44,7 +49,8 @@ def label_decode(df: DataFrame, code_column: str, labels: DataFrame, name: str)
 
 def sorted_labels(df: DataFrame, column: str, limit: int = LITERAL_LABELS) -> list:
     """Distinct values as a driver list, refused when there are more than ``limit``."""
-    found = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()]
+    values = df.select(column).where(F.col(column).isNotNull()).distinct()
+    found = [r[0] for r in values.limit(limit + 1).collect()]
     if len(found) > limit:
         raise ValueError(f"{column} has more than {limit} values: encode it instead")
     return sorted(found)

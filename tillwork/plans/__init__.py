@@ -1,6 +1,6 @@
 """Queries over the given tables, composed from the operators."""
 
-from tillwork.plans import profiling, sales  # noqa: F401
+from tillwork.plans import evaluation, profiling, regression, sales  # noqa: F401
 from tillwork.plans.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES", "query"]
