@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwork.functions.columns import bucket, hash32, hash_fraction
@@ -32,13 +32,14 @@ def kfold_assign(df: DataFrame, k: int, key: str = "row_key", seed: int = 42) ->
 def stratified_parts(
     df: DataFrame,
     label: str,
-    cuts: Sequence[float],
+    cuts: Sequence[float | Column],
     name: str = "part",
     key: str = "row_key",
     seed: int = 42,
 ) -> DataFrame:
     """Split each class at exact ranks of the hashed key: part 0 up to cuts[0] of the class, ...
 
+    A cut is a share of the class, or a column over the label giving a number of rows.
     Rows are counted per class and hash prefix; that tells for nearly every prefix which part it
     belongs to. Only rows in the one prefix a cut falls into are ranked, so no class is ever
     sorted as a whole.
@@ -59,7 +60,9 @@ def stratified_parts(
     )
     bounds = []
     for i, cut in enumerate(cuts):
-        wanted = F.floor(F.col("size") * F.lit(cut) + F.lit(0.5))
+        wanted = cut
+        if not isinstance(cut, Column):
+            wanted = F.floor(F.col("size") * F.lit(cut) + F.lit(0.5))
         holds = (F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted)
         bounds += [
             F.max(F.when(holds, F.col("__prefix"))).alias(f"p{i}"),
