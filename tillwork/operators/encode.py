@@ -84,9 +84,14 @@ def quantile_bin(
     return binned.otherwise(F.lit(labels[-1]))
 
 
-def label_high_low(df: DataFrame, column: str = "total_amount") -> DataFrame:
-    """Binary target: ``label_name`` Low/High at the median, ``label`` High = 0, Low = 1."""
-    name = quantile_bin(df, column)
+def label_high_low(
+    df: DataFrame, column: str = "total_amount", measured: DataFrame | None = None
+) -> DataFrame:
+    """Binary target: ``label_name`` Low/High at the median, ``label`` High = 0, Low = 1.
+
+    ``measured`` may hold the same rows with fewer joins behind them, to find the median on.
+    """
+    name = quantile_bin(df if measured is None else measured, column)
     return df.withColumn("label_name", name).withColumn(
         "label", (F.col("label_name") == "Low").cast("int")
     )

@@ -32,7 +32,8 @@ TOP = ("quantity", "price", "discount_pct")
 def classification_frame(spark, sf, folds=3):
     """(row_key, label, seven features, split, fold)."""
     df = encode.label_high_low(
-        transactions(spark, sf, "row_key", *TOP, "transaction_date", "total_amount")
+        transactions(spark, sf, "row_key", *TOP, "transaction_date", "total_amount"),
+        measured=transactions(spark, sf, "total_amount"),
     )
     parts = date_parts("transaction_date")
     df = df.select(
