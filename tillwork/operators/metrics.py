@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.columns import ratio
 from tillwork.operators.prefix import running_sums
+from tillwork.session import cut
 
 
 def confusion_matrix(
@@ -103,9 +104,13 @@ def binary_metrics(
         F.count_if((y == 1) & (p == 0)).alias("fn"),
         F.count_if((y == 1) & (p == 1)).alias("tp"),
     )
+    return _rates(counts, *([group] if group else []))
+
+
+def _rates(counts: DataFrame, *keep: str) -> DataFrame:
     tn, fp, fn, tp = (F.col(c).cast("double") for c in ("tn", "fp", "fn", "tp"))
     return counts.select(
-        *([group] if group else []),
+        *keep,
         "tn",
         "fp",
         "fn",
@@ -125,6 +130,10 @@ def score_counts(
     collapsed = predictions.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
+    return _running(collapsed)
+
+
+def _running(collapsed: DataFrame) -> tuple[DataFrame, int, int]:
     sums = {"tp": "pos", "fp": "neg"}
     counts, totals = running_sums(collapsed, "threshold", sums, ascending=False)
     return counts, totals["tp"], totals["fp"]
@@ -150,7 +159,10 @@ def roc_auc(predictions: DataFrame, label: str = "label", score: str = "score")
     The point before a score is its running count minus its own count, so no neighbour row is
     looked up; twice the area is summed in exact integers.
     """
-    counts, pos, neg = score_counts(predictions, label, score)
+    return _area(*score_counts(predictions, label, score))
+
+
+def _area(counts: DataFrame, pos: int, neg: int) -> DataFrame:
     doubled = F.sum(
         F.col("neg").cast("decimal(19,0)") * (2 * F.col("tp") - F.col("pos")).cast("decimal(19,0)")
     )
@@ -220,10 +232,29 @@ def kfold_summary(accuracies: DataFrame, model: str = "model", fold: str = "fold
 def comparison_row(
     predictions: DataFrame, model: str, label: str = "label", score: str = "score", digits: int = 4
 ) -> DataFrame:
-    """One row of the model comparison table."""
-    rates = binary_metrics(predictions, label).withColumn("model", F.lit(model))
-    area = roc_auc(predictions, label, score).withColumn("model", F.lit(model))
-    return rates.join(area, "model").select(
+    """One row of the model comparison table.
+
+    The rows are scored once: counts per (score, prediction) hold all that the row needs.
+    """
+    cells = cut(
+        predictions.groupBy(F.col(score).cast("double").alias("score"), "prediction").agg(
+            F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
+        )
+    )
+    positive = F.col("prediction") == 1
+    rates = _rates(
+        cells.agg(
+            _total(~positive, "neg").alias("tn"),
+            _total(positive, "neg").alias("fp"),
+            _total(~positive, "pos").alias("fn"),
+            _total(positive, "pos").alias("tp"),
+        )
+    )
+    by_score = cells.groupBy(F.col("score").alias("threshold")).agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
+    )
+    area = _area(*_running(by_score)).withColumn("model", F.lit(model))
+    return rates.withColumn("model", F.lit(model)).join(area, "model").select(
         "model",
         *[F.round(c, digits).alias(c) for c in ("precision", "recall", "specificity", "f1", "auc")],
         "tn",
@@ -233,6 +264,10 @@ def comparison_row(
     )
 
 
+def _total(condition: Column, value: str) -> Column:
+    return F.coalesce(F.sum(F.when(condition, F.col(value))), F.lit(0))
+
+
 def classifier_comparison(models: dict[str, DataFrame], **options) -> DataFrame:
     """Comparison rows of several models, one predictions frame each."""
     table = None

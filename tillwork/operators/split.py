@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwork.functions.columns import bucket, hash32, hash_fraction
+from tillwork.session import cut
 
 # Leading hash bits that locate a cut inside a class before rows are ranked.
 PREFIX_BITS = 16
@@ -59,16 +60,17 @@ def stratified_parts(
         F.sum("n").over(Window.partitionBy(label)).alias("size"),
     )
     bounds = []
-    for i, cut in enumerate(cuts):
-        wanted = cut
-        if not isinstance(cut, Column):
-            wanted = F.floor(F.col("size") * F.lit(cut) + F.lit(0.5))
+    for i, share in enumerate(cuts):
+        wanted = share
+        if not isinstance(share, Column):
+            wanted = F.floor(F.col("size") * F.lit(share) + F.lit(0.5))
         holds = (F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted)
         bounds += [
             F.max(F.when(holds, F.col("__prefix"))).alias(f"p{i}"),
             F.max(F.when(holds, wanted - (F.col("upto") - F.col("n")))).alias(f"r{i}"),
         ]
-    edges = running.groupBy(F.col(label).alias("__label")).agg(*bounds)
+    # One row per class, used by both halves below.
+    edges = cut(running.groupBy(F.col(label).alias("__label")).agg(*bounds))
     joined = tagged.join(edges, F.col(label).eqNullSafe(F.col("__label")))
     # An empty part leaves its cut without a prefix: everything lies beyond it.
     cut_prefix = [F.coalesce(f"p{i}", F.lit(-1)) for i in range(len(cuts))]

@@ -23,6 +23,7 @@ from tillwork.functions.columns import date_parts, holiday_flag, weekend_flag
 from tillwork.operators import bayes, encode, ensembles, metrics, models, outliers, sales, trees
 from tillwork.operators.split import kfold_assign, stratified_split, train_test_split
 from tillwork.plans.registry import hash32_sql, query
+from tillwork.session import cut
 from tillwork.sources import transactions
 
 FEATURES = ("quantity", "price", "discount_pct", "month", "day", "hour", "day_of_week")
@@ -55,7 +56,8 @@ def _vectors(spark, sf, features=TOP, scale=False, folds=3):
         fitted = encode.moments(df.where("split = 'train'"), features)
         df = encode.standardize(df, features, fitted)
     vectors = models.with_vector(df, features).select("row_key", "label", "features", "split", "fold")
-    return _split(vectors)
+    # Iterative fits read the table many times: it is joined and split once.
+    return _split(cut(vectors))
 
 
 def _report(name, predicted, spark):
@@ -174,7 +176,7 @@ def rbf_svm(spark, sf):
     df = encode.standardize(df, TOP, encode.moments(df.where("split = 'train'"), TOP))
     df, names = models.fourier_features(df, TOP, gamma=1.0 / len(TOP), size=48)
     vectors = models.with_vector(df, names).select("row_key", "label", "features", "split")
-    train, test = _split(vectors)
+    train, test = _split(cut(vectors))
     svm = LinearSVC(labelCol="label", standardization=False, maxIter=8, regParam=1e-5)
     with models.persisted(train) as kept:
         model = svm.fit(kept)
@@ -285,7 +287,7 @@ def rf_grid(spark, sf):
 def rf_nested_cv(spark, sf):
     """The grid search itself is cross-validated: each outer fold tunes on the other folds."""
     df = kfold_assign(classification_frame(spark, sf, 2), 2, seed=7).withColumnRenamed("fold", "outer")
-    vectors = models.with_vector(kfold_assign(df, 2), TOP)
+    vectors = cut(models.with_vector(kfold_assign(df, 2), TOP))
     forest = RandomForestClassifier(labelCol="label", numTrees=5, seed=5805)
     points = models.param_points(forest, maxDepth=[3, 5])
     scores = ensembles.fold_scores(
@@ -328,8 +330,14 @@ def multiclass_frame(spark, sf):
     products = [c for c in df.columns if "_x_" in c]
     inputs = [f"{c}_code" for c in coded[:-1]] + list(NUMERIC) + products
     vectors = models.with_vector(df, inputs)
-    return vectors.select(
-        "row_key", "split", "product_category", F.col("product_category_code").alias("label"), "features"
+    return cut(
+        vectors.select(
+            "row_key",
+            "split",
+            "product_category",
+            F.col("product_category_code").alias("label"),
+            "features",
+        )
     )
 
 
@@ -362,8 +370,8 @@ def mlp_grid(spark, sf):
     best, _ = models.grid_search(net, points, train, 3)
     predicted = models.predictions(best, test)
     # The threshold is chosen on the training rows, then reported once on the test rows.
-    cut = metrics.best_f1_threshold(models.predictions(best, train)).first()["threshold"]
-    return _report("Neural Network", metrics.apply_threshold(predicted, cut), spark)
+    best_cut = metrics.best_f1_threshold(models.predictions(best, train)).first()["threshold"]
+    return _report("Neural Network", metrics.apply_threshold(predicted, best_cut), spark)
 
 
 def _forest(**options):
@@ -460,7 +468,7 @@ def model_comparison(spark, sf):
 def cross_validation(spark, sf):
     """Fold accuracies of two families with their maximum, minimum and mean."""
     df = classification_frame(spark, sf, 3)
-    vectors = models.with_vector(df, TOP).select("row_key", "label", "features", "fold")
+    vectors = cut(models.with_vector(df, TOP).select("row_key", "label", "features", "fold"))
     logistic = LogisticRegression(labelCol="label", maxIter=10)
     tree = DecisionTreeClassifier(labelCol="label", maxDepth=5)
     scores = ensembles.fold_scores(logistic.fit, vectors, 3, "Logistic Regression").unionByName(
