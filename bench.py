@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tillwork.plans import QUERIES  # noqa: E402
 from tillwork.session import local_session  # noqa: E402
 
-# Relational queries are timed warm, best of three; model and neighbour queries once.
+# Relational queries are timed warm, best of two; model and neighbour queries once.
 QUICK = (
     "category_sales", "describe_numeric", "duplicate_count", "product_analysis", "daily_growth",
     "monthly_revenue", "label_encode", "quantile_label", "standardize", "iqr_filter",
@@ -36,7 +36,7 @@ def main() -> None:
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "tillwork-bench")
     seconds: dict[str, float] = {}
     for name in QUICK:
-        seconds[name] = round(min(timed(spark, name, directory) for _ in range(3)), 3)
+        seconds[name] = round(min(timed(spark, name, directory) for _ in range(2)), 3)
     for name in ONCE:
         seconds[name] = round(timed(spark, name, directory), 3)
     print(

@@ -253,9 +253,9 @@ def comparison_row(
     by_score = cells.groupBy(F.col("score").alias("threshold")).agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
     )
-    area = _area(*_running(by_score)).withColumn("model", F.lit(model))
-    return rates.withColumn("model", F.lit(model)).join(area, "model").select(
-        "model",
+    area = _area(*_running(by_score)).first()["auc"]
+    return rates.withColumn("auc", F.lit(area)).select(
+        F.lit(model).alias("model"),
         *[F.round(c, digits).alias(c) for c in ("precision", "recall", "specificity", "f1", "auc")],
         "tn",
         "fp",
