@@ -43,15 +43,17 @@ def dbscan(
         F.col(key).alias("key"),
         *[(F.col(c).cast("double") + F.lit(0.0)).alias(x) for c, x in zip(features, xs)],
     ).na.drop(subset=xs)
-    located = rows.withColumn("cell", F.array(*[F.floor(F.col(x) / F.lit(side)) for x in xs]))
+    # The table is read by every step below: its source plan runs once.
+    located = cut(
+        rows.withColumn("cell", F.array(*[F.floor(F.col(x) / F.lit(side)) for x in xs]))
+    )
     cells = cut(located.groupBy("cell").agg(F.count("*").alias("n")))
     thin = cells.where(F.col("n") < min_samples).select("cell")
     tested = cut(_test_thin_points(located, thin, xs, eps, min_samples))
     core_thin = tested.where("is_core").select("key", *xs, "cell")
     dense = cells.where(F.col("n") >= min_samples).select("cell")
     core = located.join(dense, "cell", "left_semi").select("key", *xs, "cell").unionByName(core_thin)
-    core_cells = core.groupBy("cell").agg(F.min("key").alias("first_key"))
-    core_cells = cut(core_cells)
+    core_cells = cut(core.groupBy("cell").agg(F.min("key").alias("first_key")))
     links = _link_cells(core, core_cells, xs, eps, side)
     graph = links.unionByName(
         core_cells.select(_cell_name("cell").alias("a"), _cell_name("cell").alias("b"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.functions.columns import exact_sum, ratio
+from tillwork.session import cut
 
 
 def category_sales(df: DataFrame, key: str = "product_category") -> DataFrame:
@@ -58,9 +59,12 @@ def _days(df: DataFrame, date: str) -> DataFrame:
 
 def daily_totals(df: DataFrame, date: str = "transaction_date") -> DataFrame:
     """Revenue and quantity for every calendar day; days without sales are 0."""
-    sold = df.groupBy(F.to_date(date).alias("day")).agg(
-        exact_sum("total_amount").alias("revenue"),
-        F.sum("quantity").cast("bigint").alias("volume"),
+    # One row per day: kept, since both the calendar's ends and its values are read from it.
+    sold = cut(
+        df.groupBy(F.to_date(date).alias("day")).agg(
+            exact_sum("total_amount").alias("revenue"),
+            F.sum("quantity").cast("bigint").alias("volume"),
+        )
     )
     return (
         _days(sold, "day")
@@ -75,8 +79,10 @@ def daily_totals(df: DataFrame, date: str = "transaction_date") -> DataFrame:
 
 def monthly_revenue(df: DataFrame, date: str = "transaction_date") -> DataFrame:
     """Revenue per month, labelled by the month's last day; months without sales are 0."""
-    sold = df.groupBy(F.last_day(F.to_date(date)).alias("month_end")).agg(
-        exact_sum("total_amount").alias("revenue")
+    sold = cut(
+        df.groupBy(F.last_day(F.to_date(date)).alias("month_end")).agg(
+            exact_sum("total_amount").alias("revenue")
+        )
     )
     span = sold.agg(
         F.trunc(F.min("month_end"), "month").alias("lo"),
