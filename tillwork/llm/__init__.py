@@ -7,6 +7,7 @@ from tillwork.llm import (  # noqa: F401
     near_dedup,
     packing,
     shard,
+    suffix_dedup,
     token_counts,
     token_files,
     topk,
