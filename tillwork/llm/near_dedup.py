@@ -10,10 +10,10 @@ misses all of them with probability (1 - 0.8^4)^32, below 1e-7.
 
 Documents with equal sets are one node from the start, so copies cost one row. In a bucket every
 member is compared with the smallest one on the full sets; what that links needs no other
-comparison. Members of a bucket that still lie in different components are then compared with all
-members of the bucket in other components whose sizes allow a link, until none is left. So a group
-of copies, however large, costs one comparison a member, and no candidate pair goes unchecked unless
-its ends are linked already.
+comparison. Members of a bucket that still lie in different components are then compared with the
+members of the bucket in other components, through their short differences from the smallest one.
+So a group of copies costs one comparison of full sets a member, and no candidate pair goes
+unchecked unless its ends are linked already.
 """
 
 from __future__ import annotations
@@ -164,6 +164,77 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _bits(elements: str) -> Column:
+    """Which of 64 classes occur among the elements."""
+    return F.expr(f"aggregate({elements}, 0L, (bits, x) -> bits | shiftleft(1L, cast(pmod(x, 64) as int)))")
+
+
+def _common(a: str, b: str) -> Column:
+    """At most so many elements of a are in b: each class that b lacks holds one that is not."""
+    side = "_2" if a.endswith("_2") else ""
+    other = "" if side else "_2"
+    mine, theirs = (F.col(f"{x.removesuffix('_2')}_bits{y}") for x, y in ((a, side), (b, other)))
+    return F.size(a) - F.bit_count(mine.bitwiseAND(F.bitwise_not(theirs)))
+
+
+def _across(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) inside buckets whose members still lie in different components.
+
+    Each member is written as its difference from the bucket's centre c. What v and x share is then
+    |c| - |c-v or c-x| + |v-c and x-c|, exactly, from short lists instead of full sets; it is tested
+    in the join itself, so only links come out of it.
+    """
+    placed = members.join(labels, "node", "left").select(
+        "bucket", "node", "n", "centre", F.coalesce("component", "node").alias("component")
+    )
+    mixed = (
+        placed.groupBy("bucket")
+        .agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"),
+            F.max(F.when(F.col("node") == F.col("centre"), F.col("component"))).alias("home"),
+        )
+        .where((F.col("low") < F.col("high")) & (F.col("size") > 2))
+        .select("bucket", "home")
+    )
+    rest = cut(placed.join(mixed, "bucket"))
+    centre = sets.select(F.col("node").alias("centre"), F.col("elements").alias("c"))
+    own = sets.select("node", F.col("elements").alias("v"))
+    differences = (
+        rest.select("centre", "node").distinct().join(centre, "centre").join(own, "node")
+        .select(
+            "centre", "node", F.size("c").alias("n_centre"),
+            F.array_except("c", "v").alias("gone"), F.array_except("v", "c").alias("more"),
+        )
+    )
+    full = cut(
+        rest.join(differences, ["centre", "node"]).drop("centre")
+        .withColumn("gone_bits", _bits("gone")).withColumn("more_bits", _bits("more"))
+    )
+    # One end at least lies outside the component of the centre, which is the largest as a rule.
+    left = full.where(F.col("component") != F.col("home"))
+    right = full.select("bucket", *[F.col(c).alias(f"{c}_2") for c in full.columns if c != "bucket"])
+    once = (F.col("component_2") == F.col("home")) | (F.col("node") < F.col("node_2"))
+    in_centre = (
+        F.col("n_centre") - F.size("gone") - F.size("gone_2") + F.size(F.array_intersect("gone", "gone_2"))
+    )
+    shared = in_centre + F.size(F.array_intersect("more", "more_2"))
+    n, m = F.col("n"), F.col("n_2")
+    # The same from bit sets alone, as a bound that spares most of the intersections.
+    at_most = (
+        F.col("n_centre") - F.size("gone") - F.size("gone_2")
+        + F.least(_common("gone", "gone_2"), _common("gone_2", "gone"))
+        + F.least(_common("more", "more_2"), _common("more_2", "more"))
+    )
+    return cut(
+        left.join(right, "bucket")
+        .where((F.col("component") != F.col("component_2")) & once)
+        .where(_sizes_allow(n, m) & _similar(at_most, n, m))
+        .where(_similar(shared, n, m))
+        .select(F.least("node", "node_2").alias("a"), F.greatest("node", "node_2").alias("b"))
+        .distinct()
+    )
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5) -> DataFrame:
     """(doc_id, copy, n_shingles, component_id, kept) for each row of ``docs`` (doc_id, text).
 
@@ -206,27 +277,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5) -> DataFrame:
     links = cut(_verified(stars, sets))
     labels = connected_components(links, driver_edges=0)
 
-    open_members = cut(
-        members.join(labels, "node", "left")
-        .select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
-    )
-    mixed = (
-        open_members.groupBy("bucket")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-        .where((F.col("low") < F.col("high")) & (F.col("size") > 2))
-        .select("bucket")
-    )
-    rest = open_members.join(mixed, "bucket")
-    other = rest.select("bucket", *[F.col(c).alias(f"{c}_2") for c in ("node", "n", "component")])
-    crossing = (
-        rest.join(other, "bucket")
-        .where((F.col("node") < F.col("node_2")) & (F.col("component") != F.col("component_2")))
-        .where(_sizes_allow(F.col("n"), F.col("n_2")))
-        .select(F.col("node").alias("a"), F.col("node_2").alias("b"))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    late = cut(_verified(crossing, sets))
+    late = _across(members, labels, sets)
     if late.limit(1).count():
         labels = connected_components(links.unionByName(late), driver_edges=0)
 
