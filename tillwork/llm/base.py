@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +49,31 @@ def null_safe(left: DataFrame, right: DataFrame, columns: list[str], how: str) -
     on = [left[c].eqNullSafe(renamed[f"__r_{c}"]) for c in columns]
     joined = left.join(renamed, on, how)
     return joined.drop(*[f"__r_{c}" for c in columns])
+
+
+#: Rows and bytes handed to a Python task at once.
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after bounding the Arrow batches of its session: rows with whole texts are large."""
+    conf = df.sparkSession.conf
+    for name, bound in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = int(conf.get(key).lower().rstrip("b"))
+        if not 0 < now <= bound:
+            conf.set(key, str(bound))
+    return df
+
+
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for mapInArrow, giving back its memory at the end: workers live on between tasks."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return task

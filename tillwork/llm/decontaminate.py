@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwork.llm.base import query, table
+from tillwork.llm.base import frugal, query, small_batches, table
 
 WINDOW = 10
 CHUNK_BYTES = 32 << 20
@@ -165,7 +165,7 @@ def contamination(
     """
     added = ["n_words", "n_hit", "item_ids", "spans"]
     kept = [c for c in docs.columns if c not in added]
-    result = docs.select(*kept, F.col("text").cast("string").alias("__text"))
+    result = small_batches(docs).select(*kept, F.col("text").cast("string").alias("__text"))
     first = True
     span = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
     for chunk in item_chunks(items, chunk_bytes):
@@ -210,7 +210,7 @@ def contamination(
                     names=[*kept, "__text", *added],
                 )
 
-        result = result.mapInArrow(search, schema)
+        result = result.mapInArrow(frugal(search), schema)
         first = False
     return result.drop("__text")
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwork.llm.base import query, table
+from tillwork.llm.base import frugal, query, small_batches, table
 
 BUCKETS = 1 << 15
 ORDERS = 3
@@ -157,7 +157,7 @@ def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
             names=["bucket", "n"],
         )
 
-    sums = rows.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n"))
+    sums = rows.select("text").mapInArrow(frugal(count), "bucket int, n long").groupBy("bucket").agg(F.sum("n"))
     frequencies, texts = np.zeros(BUCKETS, np.int64), 0
     for bucket, n in sums.collect():  # at most BUCKETS + 1 rows
         if bucket < 0:
@@ -169,7 +169,7 @@ def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
 
 def fit(docs: DataFrame) -> Model:
     """Learn from ``docs`` (doc_id, text, lang); without learnable rows nothing is learned."""
-    rows = learnable(docs)
+    rows = learnable(small_batches(docs))
     # Ids alone are ranked, and each partition keeps its first ones before the shuffle.
     lettered = rows.where(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang")
     ranked = lettered.withColumn(
@@ -213,7 +213,7 @@ def fit(docs: DataFrame) -> Model:
     sample = (
         rows.join(F.broadcast(wanted), (F.col("doc_id") == F.col("__id")) & (F.col("lang") == F.col("__lang")))
         .select("__lang", "__rank", "text")
-        .mapInArrow(featurise, "lang string, rank int, at binary, value binary")
+        .mapInArrow(frugal(featurise), "lang string, rank int, at binary, value binary")
     )
     fitting, checking, labels = [], [], []
     for r in sorted(sample.collect()):
@@ -236,6 +236,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     Null texts and texts without a letter give ``und`` and 0, as does a model that learned nothing.
     Rows are taken one by one, so repeated rows and null ids need no rule.
     """
+    docs = small_batches(docs)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double")
 
@@ -248,7 +249,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 names=[*kept, "lang_pred", "score"],
             )
 
-    return docs.select(*kept, F.col("text").cast("string").alias("__text")).mapInArrow(predict, schema)
+    return docs.select(*kept, F.col("text").cast("string").alias("__text")).mapInArrow(frugal(predict), schema)
 
 
 @query("op10_language_id")

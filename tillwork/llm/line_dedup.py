@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tillwork.llm.base import null_safe, query, table
+from tillwork.llm.base import null_safe, query, small_batches, table
 
 WINDOW = 3
 
@@ -88,7 +88,7 @@ def remove_repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Null ids come first in the order. Other columns pass; those named n_lines or n_removed_lines
     are replaced. A document all of whose lines are removed gets an empty text.
     """
-    keyed = docs.drop("n_lines", "n_removed_lines").withColumn("__copy", F.xxhash64("text"))
+    keyed = small_batches(docs).drop("n_lines", "n_removed_lines").withColumn("__copy", F.xxhash64("text"))
     covered = covered_lines(keyed.select("doc_id", F.col("__copy").alias("copy"), "text"), window)
     covered = covered.select("doc_id", F.col("copy").alias("__copy"), F.col("covered").alias("__covered"))
     joined = null_safe(keyed, covered, ["doc_id", "__copy"], "left")

@@ -26,14 +26,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm.base import null_safe, query, table
+from tillwork.llm.base import frugal, null_safe, query, small_batches, table
 from tillwork.operators.components import connected_components
 from tillwork.session import cut
 
 COORDINATES, BANDS = 128, 32
 #: A link needs DENOMINATOR * |A and B| >= NUMERATOR * |A or B|.
 NUMERATOR, DENOMINATOR = 80, 100
-MEMORY = 500_000
+MEMORY = 200_000
 
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -243,10 +243,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5) -> DataFrame:
     alike; an id with several texts, where it names a group, joins what any of them links. An empty
     table gives no rows. Intermediate tables are written to the shared folder.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    docs = small_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     sketches = cut(
         docs.mapInArrow(
-            _sketches(shingle), "doc_id long, n_shingles long, a long, b long, bands array<long>"
+            frugal(_sketches(shingle)), "doc_id long, n_shingles long, a long, b long, bands array<long>"
         )
     )
     # One node for each distinct set: the smallest id that has it.
@@ -273,7 +273,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5) -> DataFrame:
         .select("node", "text", F.xxhash64("text").alias("copy"))
         .dropDuplicates(["node", "copy"])
     )
-    sets = cut(texts.mapInArrow(_sets(shingle), "node long, elements array<long>"))
+    sets = cut(texts.mapInArrow(frugal(_sets(shingle)), "node long, elements array<long>"))
     links = cut(_verified(stars, sets))
     labels = connected_components(links, driver_edges=0)
 

@@ -20,12 +20,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm.base import query, table
+from tillwork.llm.base import frugal, query, small_batches, table
 from tillwork.llm.encoding import Encoder
 from tillwork.session import cut
 
 LENGTH = 2_048
 OPEN_BINS = 4_096
+#: Stretches of text that a task remembers.
+MEMORY = 400_000
 #: Pieces packed together.
 GROUP = 100_000
 
@@ -86,7 +88,7 @@ def cut_pieces(
     """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_file, glues_space)
+        encoder = Encoder(tokenizer_file, glues_space, MEMORY)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
@@ -103,12 +105,12 @@ def cut_pieces(
                 names=["doc_id", "copy", "piece", "start", "length", "ids_crc32"],
             )
 
-    read = docs.select(
+    read = small_batches(docs).select(
         F.col("doc_id").cast("long"),
         F.xxhash64(F.col("text").cast("string")).alias("copy"),
         F.col("text").cast("string"),
     )
-    return read.mapInArrow(pieces, PIECES)
+    return read.mapInArrow(frugal(pieces), PIECES)
 
 
 def pack(

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwork.llm.base import query, table
+from tillwork.llm.base import frugal, query, small_batches, table
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -142,7 +142,7 @@ def count_tokens(docs: DataFrame, model_file: str, text: str = "text") -> DataFr
                 names=kept + added,
             )
 
-    return docs.select(*kept, F.col(text).alias("__text")).mapInArrow(count, schema)
+    return small_batches(docs).select(*kept, F.col(text).alias("__text")).mapInArrow(frugal(count), schema)
 
 
 @query("op1_token_counts")

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwork.llm.base import partitions, query, table
+from tillwork.llm.base import frugal, partitions, query, small_batches, table
 from tillwork.llm.encoding import Encoder
 from tillwork.session import shared_dir
 
@@ -65,12 +65,12 @@ def write_ids(
             row += n
 
     ordered = (
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+        small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
         .repartitionByRange(partitions(spark), "doc_id")
         .sortWithinPartitions("doc_id", "text")
     )
     (
-        ordered.mapInArrow(encode, FILES)
+        ordered.mapInArrow(frugal(encode), FILES)
         .write.option("orc.bloom.filter.columns", "doc_id")
         .option("orc.row.index.stride", stride)
         .option("compression", "zstd")
@@ -102,7 +102,7 @@ def documents_in(spark: SparkSession, target: str) -> DataFrame:
                 names=["doc_id", "block", "row", "n_tokens", "ids_crc32"],
             )
 
-    rows = read_ids(spark, target).mapInArrow(digest, crc_schema)
+    rows = read_ids(spark, target).mapInArrow(frugal(digest), crc_schema)
     sums = read_ids(spark, target).groupBy("block").agg(F.sum("n_tokens").alias("__sum"))
     earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("block", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__start"))
