@@ -227,11 +227,71 @@ def test_collinear_columns_keep_all_features(spark):
     assert Gram(df, ["a", "b"], "y").vif_select() == ["a", "b"]
 
 
+@pytest.mark.parametrize("offset", [0.0, 1e4, 1e5, 1e6, 1e7])
+@pytest.mark.parametrize("constant", [False, True])
+def test_least_squares_far_from_zero(spark, offset, constant):
+    rng = np.random.default_rng(3)
+    x = offset + rng.normal(0, 1, 2000)
+    w = offset / 3 + rng.normal(0, 2, 2000)
+    y = 3 * x - w + rng.normal(0, 1, 2000)
+    df = spark.createDataFrame([(float(a), float(b), float(c)) for a, b, c in zip(x, w, y)], "x double, w double, y double")
+    gram = Gram(df, ["x", "w"], "y")
+    fit = gram.fit(constant=constant)
+    if constant:
+        basis, rhs, slopes = np.column_stack([x - x.mean(), w - w.mean()]), y - y.mean(), fit.coef[1:]
+    else:
+        basis, rhs, slopes = np.column_stack([x, w]), y, fit.coef
+    size = np.linalg.norm(basis, axis=0)
+    expected = np.linalg.lstsq(basis / size, rhs, rcond=None)[0] / size
+    rest = rhs - basis @ expected
+    assert np.allclose(slopes, expected, rtol=1e-6)
+    assert fit.rss == pytest.approx(rest @ rest, rel=1e-6)
+    u, s, vt = np.linalg.svd(basis / size, full_matrices=False)
+    se = np.sqrt(fit.rss / fit.df * np.sum((vt.T / s) ** 2, axis=1)) / size
+    assert np.allclose(fit.se[-2:], se, rtol=1e-6)
+    assert all(p < 1e-9 for p in fit.p[-2:])
+
+
+def test_dependent_columns(spark):
+    rng = np.random.default_rng(4)
+    a, c = rng.normal(5, 1, 500), rng.normal(0, 1, 500)
+    y = 2 * a + c + rng.normal(0, 0.5, 500)
+    rows = [(float(p), 2 * float(p), float(q), 0.0, float(r)) for p, q, r in zip(a, c, y)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, zero double, y double")
+    gram = Gram(df, ["a", "b", "c"], "y")
+    assert gram.vif()["a"] == gram.vif()["b"] == math.inf
+    assert gram.vif_select() == ["c"]
+    fit = gram.fit()
+    x = np.column_stack([a, 2 * a, c])
+    least = np.linalg.pinv(x) @ y
+    assert np.allclose(fit.coef, least) and fit.rank == 2 and fit.df == 498
+    spread = fit.rss / fit.df * np.diag(np.linalg.pinv(x.T @ x))
+    assert np.allclose(fit.se, np.sqrt(spread))
+    assert gram.backward() == ["a", "b", "c"]
+    assert "c" in gram.bidirectional()
+    with_zero = Gram(df, ["a", "zero", "c"], "y")
+    assert with_zero.backward() == ["a", "c"] and with_zero.vif()["zero"] == math.inf
+    with pytest.raises(ValueError, match="no row"):
+        Gram(df.limit(0), ["a"], "y")
+
+
+def test_exact_fit_has_no_residual(spark):
+    df = spark.createDataFrame([(float(i), 4.0 + 2.0 * i, 7.0) for i in range(50)], "x double, y double, k double")
+    fit = Gram(df, ["x"], "y").fit(constant=True)
+    assert np.allclose(fit.coef, [4.0, 2.0]) and fit.r2 == pytest.approx(1.0)
+    flat = Gram(df, ["x"], "k").fit(constant=True)
+    assert math.isnan(flat.r2) and flat.coef[0] == pytest.approx(7.0)
+
+
 def test_tail_probabilities():
     # Table values: t with 10 degrees of freedom at 2.228, F(2, 10) at 4.103.
     assert t_two_sided(2.228, 10) == pytest.approx(0.05, abs=1e-4)
     assert f_upper(4.103, 2, 10) == pytest.approx(0.05, abs=1e-4)
     assert t_quantile(0.05, 10) == pytest.approx(2.228, abs=1e-3)
+    # Far out in the degrees of freedom t is normal.
+    for t in (0.1, 1.0, 1.7, 1.9, 3.0):
+        for df in (1e6, 1e9, 1e12):
+            assert t_two_sided(t, df) == pytest.approx(math.erfc(t / math.sqrt(2)), rel=1e-4 if df < 1e9 else 1e-5)
     assert f_upper(9.0, 1, 25) == pytest.approx(t_two_sided(3.0, 25), rel=1e-9)
 
 

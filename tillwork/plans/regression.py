@@ -76,6 +76,36 @@ def ols_fit_const(spark, sf):
     return _fit_table(_gram(spark, sf).fit(constant=True), spark)
 
 
+@query(
+    "ols_fit_offset",
+    """with {tx}, d as (
+      select quantity as a, date_diff('day', date '1970-01-01', cast(transaction_date as date)) as b,
+             total_amount as y from tx
+    ), m as (
+      select count(*) as n, var_pop(a) as va, var_pop(b) as vb, covar_pop(a, b) as cab,
+             covar_pop(a, y) as cay, covar_pop(b, y) as cby, var_pop(y) as vy from d
+    ), r as (
+      select *, (vb * cay - cab * cby) / (va * vb - cab * cab) as ba,
+             (va * cby - cab * cay) / (va * vb - cab * cab) as bb from m
+    ), s as (select *, n * (vy - ba * cay - bb * cby) as rss, va - cab * cab / vb as wa,
+                    vb - cab * cab / va as wb from r)
+    select n, round(rss / (n * vy), 8) as unexplained, round(ba, 4) as quantity, round(bb, 5) as day,
+           round(ba / sqrt(rss / (n - 3) / (n * wa)), 3) as t_quantity,
+           round(bb / sqrt(rss / (n - 3) / (n * wb)), 4) as t_day from s""",
+)
+def ols_fit_offset(spark, sf):
+    """A column far from zero: days since 1970, with a constant."""
+    df = transactions(spark, sf, "quantity", "transaction_date", "total_amount")
+    df = df.withColumn("day", F.unix_date(F.col("transaction_date").cast("date")))
+    fit = Gram(df, ("quantity", "day"), "total_amount").fit(constant=True)
+    row = (fit.n, 1.0 - fit.r2, *map(float, fit.coef[1:]), *map(float, fit.t[1:]))
+    out = spark.createDataFrame(
+        [row], "n long, unexplained double, quantity double, day double, t_quantity double, t_day double"
+    )
+    places = {"unexplained": 8, "quantity": 4, "day": 5, "t_quantity": 3, "t_day": 4}
+    return out.select("n", *[F.round(c, p).alias(c) for c, p in places.items()])
+
+
 @query(
     "ols_summary",
     "with {tx}, "
