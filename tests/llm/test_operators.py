@@ -317,6 +317,22 @@ def test_languages(spark, small, odd, none):
     assert language.identify(odd, language.fit(none)).where("lang_pred <> 'und'").count() == 0
 
 
+def test_first_ids_of_each_language(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, "many") for i in range(4000)] + [(i, "few") for i in range(7)] + [(5, "one")] * 900
+    rows += [(i, "rare") for i in range(2)]
+    ids = spark.createDataFrame(rows, "doc_id long, lang string").repartition(5)
+    hashed = ids.withColumn("h", F.xxhash64(F.lit("language"), "doc_id")).collect()
+    found = language.first_by_hash(ids, 10, 3)
+    for name, size in (("many", 10), ("few", 7), ("one", 10)):
+        expected = sorted((r["h"], r["doc_id"]) for r in hashed if r["lang"] == name)[:size]
+        own = sorted((r["__rank"], r["__id"]) for r in found if r["__lang"] == name)
+        assert [x for _, x in own] == [x for _, x in expected]
+    assert {r["__lang"] for r in found} == {"many", "few", "one"}
+    assert language.first_by_hash(ids.limit(0), 10, 3) == []
+
+
 def test_pipeline(spark, small):
     import corpus_pipeline
 

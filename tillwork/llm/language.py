@@ -11,12 +11,13 @@ Prediction reads the text alone.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwork.llm.base import frugal, query, small_batches, table
@@ -167,31 +168,50 @@ def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
     return frequencies, texts
 
 
+def first_by_hash(ids: DataFrame, bound: int, languages: int) -> list[Row]:
+    """The first ``bound`` (__id, __lang, __rank) of each language by the hash of doc_id.
+
+    The ``languages`` with most rows up to ``bound`` are taken, by name where equal. Counts tell
+    below which hash some four times the rows wanted lie, so only those are ranked; a language
+    that comes out short, as with one id repeated, is ranked again with more, at last with all.
+    """
+    counts = ids.groupBy("lang").agg(F.count("*").alias("n"))
+    most = counts.orderBy(F.least("n", F.lit(bound)).desc(), "lang").limit(languages).collect()
+    left, times, out = {r["lang"]: r["n"] for r in most}, 4, []
+    while left:
+        ends = [
+            (x, min(2**64 - 1, (times * bound << 64) // n) - 2**63) for x, n in left.items()
+        ]
+        ends = ids.sparkSession.createDataFrame(ends, "__lang string, __end long")
+        first = (
+            ids.withColumn("__hash", F.xxhash64(F.lit("language"), "doc_id"))
+            .join(F.broadcast(ends), (F.col("lang") == F.col("__lang")) & (F.col("__hash") <= F.col("__end")))
+        )
+        order = Window.partitionBy("__lang").orderBy("__hash", "doc_id")
+        ranked = first.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= bound)
+        # Bounded: languages x bound ids.
+        found = ranked.select(F.col("doc_id").alias("__id"), "__lang", "__rank").collect()
+        sizes = Counter(r["__lang"] for r in found)
+        short = {x: n for x, n in left.items() if sizes[x] < min(n, bound) and times * bound < n}
+        out += [r for r in found if r["__lang"] not in short]
+        left, times = short, 16 * times
+    return out
+
+
 def fit(docs: DataFrame) -> Model:
     """Learn from ``docs`` (doc_id, text, lang); without learnable rows nothing is learned."""
     rows = learnable(small_batches(docs))
-    # Ids alone are ranked, and each partition keeps its first ones before the shuffle.
     lettered = rows.where(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang")
-    ranked = lettered.withColumn(
-        "__rank",
-        F.row_number().over(
-            Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("language"), "doc_id"), "doc_id")
-        ),
-    ).where(F.col("__rank") <= SAMPLE + CALIBRATION)
-    chosen = ranked.select(
-        F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"), "__rank"
-    ).collect()
+    chosen = first_by_hash(lettered, SAMPLE + CALIBRATION, LANGUAGES)
     if not chosen:
         return Model([], np.zeros(BUCKETS), np.zeros((BUCKETS, 0)), np.zeros(0))
-    sizes: dict[str, int] = {}
-    for r in chosen:
-        sizes[r["__lang"]] = sizes.get(r["__lang"], 0) + 1
-    languages = sorted(sorted(sizes, key=lambda x: (-sizes[x], x))[:LANGUAGES])
+    sizes = Counter(r["__lang"] for r in chosen)
+    languages = sorted(sizes)
     number = {x: i for i, x in enumerate(languages)}
     # Bounded: LANGUAGES x (SAMPLE + CALIBRATION) ids.
     spark = docs.sparkSession
     wanted = spark.createDataFrame(
-        [(r["__id"], r["__lang"], r["__rank"]) for r in chosen if r["__lang"] in number],
+        [(r["__id"], r["__lang"], r["__rank"]) for r in chosen],
         "__id long, __lang string, __rank int",
     )
     frequencies, texts = document_frequencies(rows)
