@@ -12,6 +12,8 @@ from tillwork.session import cut
 
 # Leading hash bits that locate a cut inside a class before rows are ranked.
 PREFIX_BITS = 16
+# Classes whose cuts are broadcast; beyond it they are joined by shuffling.
+BROADCAST_CLASSES = 10_000
 
 
 def sample_rows(df: DataFrame, fraction: float, key: str = "row_key", seed: int = 5805) -> DataFrame:
@@ -71,6 +73,9 @@ def stratified_parts(
         ]
     # One row per class, used by both halves below.
     edges = cut(running.groupBy(F.col(label).alias("__label")).agg(*bounds))
+    # A checkpoint has no size statistics, so they are counted here; few labels make hot keys.
+    if edges.limit(BROADCAST_CLASSES + 1).count() <= BROADCAST_CLASSES:
+        edges = F.broadcast(edges)
     joined = tagged.join(edges, F.col(label).eqNullSafe(F.col("__label")))
     # An empty part leaves its cut without a prefix: everything lies beyond it.
     cut_prefix = [F.coalesce(f"p{i}", F.lit(-1)) for i in range(len(cuts))]
