@@ -22,6 +22,8 @@ BEFORE_SPACE_WIDE = tuple(c + " " for c in OTHER_SPACES if not c.isascii())
 SPACE_AFTER_WORD = re.compile(rf"(?<=[^ {OTHER_SPACES}]) ")
 #: Letters whose lower case is one letter as well.
 LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+#: Marks that end a word.
+MARKS = frozenset(".,;:!?")
 #: Inside a stretch: a letter before a mark (not an apostrophe, which may belong to a contraction),
 #: any word before a line break, a single line break before a letter.
 CUT = re.compile(
@@ -56,8 +58,12 @@ class _Pieces(dict):
         word = piece[1:] if piece[:1] == " " else piece
         # A plain word is one pre-token and needs the model alone.
         if word.isalpha() and (not self.lower_case or max(word) < "\u0100"):
-            plain = (word.lower() if self.lower_case else piece).encode().decode("latin-1")
-            ids = [t.id for t in self.model.tokenize(plain.translate(self.letters))]
+            if word.isascii():  # its letters stand for themselves
+                plain = word.lower() if self.lower_case else piece.replace(" ", self.letters[32])
+            else:
+                bytes_of = (word.lower() if self.lower_case else piece).encode()
+                plain = bytes_of.decode("latin-1").translate(self.letters)
+            ids = [t.id for t in self.model.tokenize(plain)]
         else:
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
         found = self[piece] = array("I", ids).tobytes()
@@ -72,8 +78,14 @@ class _Stretches(dict):
         self.lead = lead
 
     def __missing__(self, stretch: str) -> bytes:
-        piece = self.pieces.__getitem__
-        found = self[stretch] = b"".join(map(piece, CUT.split(self.lead + stretch)))
+        pieces = self.pieces
+        if stretch.isalpha():  # nowhere to cut
+            found = pieces[self.lead + stretch]
+        elif stretch[-1:] in MARKS and stretch[:-1].isalpha() and stretch.isascii():
+            found = pieces[self.lead + stretch[:-1]] + pieces[stretch[-1]]
+        else:
+            found = b"".join(map(pieces.__getitem__, CUT.split(self.lead + stretch)))
+        self[stretch] = found
         return found
 
 
