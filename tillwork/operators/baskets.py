@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwork.functions.columns import ratio
-from tillwork.operators.encode import sorted_labels
+from tillwork.operators.encode import label_encode, sorted_labels
 
 
 def baskets(df: DataFrame, owner: str = "customer_id", item: str = "product_category") -> DataFrame:
@@ -23,7 +23,7 @@ def basket_matrix(
     item: str = "product_category",
     values: Sequence | None = None,
 ) -> DataFrame:
-    """One 0/1 column per item: whether the owner bought it."""
+    """One 0/1 column per item: whether the owner bought it. For many items see ``basket_codes``."""
     values = list(values) if values else sorted_labels(df, item)
     counts = df.groupBy(owner).pivot(item, values).agg(F.count(item))
     return counts.select(
@@ -31,6 +31,11 @@ def basket_matrix(
     )
 
 
+def basket_codes(df: DataFrame, owner: str = "customer_id", item: str = "product_category") -> DataFrame:
+    """(owner, codes): the places of the ones in a row of ``basket_matrix``, for any number of items."""
+    return baskets(label_encode(df, [item]), owner, f"{item}_code").withColumnRenamed("items", "codes")
+
+
 def frequent_itemsets(basket: DataFrame, min_support: float = 0.003) -> DataFrame:
     """(items, freq, support): itemsets contained in at least ``min_support`` of the baskets."""
     n = basket.count()

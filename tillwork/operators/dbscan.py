@@ -137,11 +137,16 @@ def _link_cells(core, core_cells, xs, eps, side):
     d = len(xs)
     bound = eps * eps
 
+    def halved(level: int) -> Column:
+        """Which part of its cell a point lies in."""
+        inside = [F.col(x) - F.col("cell")[i] * F.lit(side) for i, x in enumerate(xs)]
+        return F.array(*[F.floor(v / F.lit(side) * F.lit(2.0**level)) for v in inside])
+
     def nodes(level: int) -> DataFrame:
-        sub = F.array(*[F.floor(F.col(x) / F.lit(side / 2**level)) for x in xs])
+        # After the last halving every position is a node of its own, which leaves nothing open.
+        sub = halved(level) if level <= MAX_HALVINGS else F.array(*xs)
         return (
-            core.withColumn("sub", sub)
-            .groupBy("cell", "sub")
+            core.groupBy("cell", sub.alias("sub"), halved(max(level - 1, 0)).alias("parent"))
             .agg(
                 F.array(*[F.min(x) for x in xs]).alias("lo"),
                 F.array(*[F.max(x) for x in xs]).alias("hi"),
@@ -158,7 +163,7 @@ def _link_cells(core, core_cells, xs, eps, side):
     def side_of(table: DataFrame, prefix: str) -> DataFrame:
         return table.select(*[F.col(c).alias(f"{prefix}{c}") for c in table.columns])
 
-    first = cut(nodes(0))
+    first = cut(nodes(0).drop("parent"))
     pairs = (
         _around(core_cells.select("cell"), d, half=True)
         .withColumnsRenamed({"cell": "acell", "other": "bcell"})
@@ -166,7 +171,7 @@ def _link_cells(core, core_cells, xs, eps, side):
         .join(side_of(first, "b"), "bcell")
     )
     linked = None
-    for level in range(MAX_HALVINGS + 1):
+    for level in range(MAX_HALVINGS + 2):
         near = squares(
             lambda i: F.greatest(F.col("blo")[i] - F.col("ahi")[i], F.col("alo")[i] - F.col("bhi")[i], F.lit(0.0))
         )
@@ -180,10 +185,9 @@ def _link_cells(core, core_cells, xs, eps, side):
         found = judged.where("linked").select("acell", "bcell").distinct()
         linked = found if linked is None else linked.unionByName(found)
         still = judged.where(~F.col("linked")).join(found, ["acell", "bcell"], "left_anti")
-        if level == MAX_HALVINGS or still.limit(1).count() == 0:
+        if level > MAX_HALVINGS or still.limit(1).count() == 0:
             break
-        finer = nodes(level + 1).withColumn("parent", F.transform("sub", lambda v: F.shiftright(v, 1)))
-        finer = cut(finer)
+        finer = cut(nodes(level + 1))
         a_side = side_of(finer, "a").withColumnRenamed("aparent", "asub_parent")
         b_side = side_of(finer, "b").withColumnRenamed("bparent", "bsub_parent")
         open_pairs = still.select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,7 +53,7 @@ def sorted_labels(df: DataFrame, column: str, limit: int = LITERAL_LABELS) -> li
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
     found = [r[0] for r in values.limit(limit + 1).collect()]
     if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} values: encode it instead")
+        raise ValueError(f"{column} has more than {limit} values, too many for columns: use its codes")
     return sorted(found)
 
 
@@ -68,6 +69,26 @@ def one_hot_drop_first(
     return df
 
 
+def one_hot_vector(df: DataFrame, columns: Sequence[str], output: str = "one_hot") -> DataFrame:
+    """``one_hot_drop_first`` as one sparse vector, for any number of values.
+
+    Places follow the sorted values of each column in turn; null, like the first value, has none.
+    """
+    df = label_encode(df, columns, "__code")
+    names = []
+    for c in columns:
+        labels = label_table(df, c)
+        n = max(labels.count(), 1)
+        # The encoder leaves out the last place: there goes the first value.
+        place = F.coalesce(F.pmod(F.col("code") - 1, F.lit(n)), F.lit(n - 1)).cast("double")
+        encoder = OneHotEncoder(inputCol=f"__{c}_place", outputCol=f"__{c}_hot")
+        model = encoder.fit(df.sparkSession.range(n - 1, n).select(F.col("id").cast("double").alias(f"__{c}_place")))
+        df = model.transform(df.withColumnRenamed(f"{c}__code", "code").withColumn(f"__{c}_place", place))
+        df = df.drop("code", f"__{c}_place", c)
+        names.append(f"__{c}_hot")
+    return VectorAssembler(inputCols=names, outputCol=output).transform(df).drop(*names)
+
+
 def quantile_bin(
     df: DataFrame, column: str, labels: Sequence[str] = ("Low", "High"), approx: bool = False
 ) -> Column:

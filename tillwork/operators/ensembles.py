@@ -17,19 +17,25 @@ from tillwork.session import cut
 CLIP = 1e-12
 
 
-def poisson_weight(key: str, rate: float, seed: int, limit: int = 12) -> Column:
+def poisson_steps(rate: float) -> list[float]:
+    """Probabilities of at most 0, 1, 2, ... draws, until a 32-bit fraction cannot lie beyond."""
+    steps: list[float] = []
+    total = 0.0
+    while total <= 1.0 - 2.0**-32:
+        k = len(steps)
+        total += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
+        steps.append(total)
+    return steps
+
+
+def poisson_weight(key: str, rate: float, seed: int) -> Column:
     """How often a row is drawn in a bootstrap sample: Poisson counts from the key's hash.
 
     Unlike sampling by partition this draws the same rows under any partitioning.
     """
     u = hash_fraction(key, seed)
-    weight = F.lit(0.0)
-    cumulative, term = 0.0, math.exp(-rate)
-    for k in range(limit):
-        cumulative += term
-        weight = weight + (u >= F.lit(cumulative)).cast("double")
-        term *= rate / (k + 1)
-    return weight
+    steps = F.array(*[F.lit(step) for step in poisson_steps(rate)])
+    return F.size(F.filter(steps, lambda step: u >= step)).cast("double")
 
 
 def _named(estimator, name: str):

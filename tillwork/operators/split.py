@@ -42,7 +42,8 @@ def stratified_parts(
 ) -> DataFrame:
     """Split each class at exact ranks of the hashed key: part 0 up to cuts[0] of the class, ...
 
-    A cut is a share of the class, or a column over the label giving a number of rows.
+    A cut is a share of the class, or a column over the label and the ``size`` of its class giving
+    a number of rows.
     Rows are counted per class and hash prefix; that tells for nearly every prefix which part it
     belongs to. Only rows in the one prefix a cut falls into are ranked, so no class is ever
     sorted as a whole.

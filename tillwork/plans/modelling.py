@@ -407,7 +407,7 @@ def adaboost_discrete(spark, sf):
 
 def _amount_frame(spark, sf):
     df = transactions(spark, sf, "row_key", "customer_id", "product_id", "quantity", "price", "total_amount")
-    df = train_test_split(encode.one_hot_drop_first(df, ["product_id"]), 0.2)
+    df = train_test_split(encode.one_hot_vector(df, ["product_id"]), 0.2)
     inputs = [c for c in df.columns if c not in ("row_key", "total_amount", "split")]
     vectors = models.with_vector(df, inputs)
     return _split(vectors.select("row_key", F.col("total_amount").alias("label"), "features", "split"))
