@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillwork.operators import baskets, cluster, ensembles, resample, trees
+from tillwork.operators import baskets, cluster, encode, ensembles, resample, trees
 from tillwork.operators.dbscan import dbscan
 from tillwork.operators.models import with_vector
 
@@ -161,3 +161,19 @@ def test_ensembles_beat_the_majority(spark, labelled):
         assert accuracy(boosted) > majority and 1 <= len(history) <= 3
     stacked = ensembles.stacking({"rf": forest}, train, test, 3)
     assert accuracy(stacked) > majority and stacked.count() == test.count()
+
+
+def test_many_values_encode_without_a_cap(spark):
+    df = spark.range(3000).select(F.col("id").alias("o"), F.format_string("v%05d", "id").alias("item"))
+    df = df.unionByName(spark.createDataFrame([(3000, None)], "o long, item string"))
+    rows = {r["o"]: r["one_hot"] for r in encode.one_hot_vector(df, ["item"]).collect()}
+    assert rows[0].size == 2999
+    assert rows[0].indices.tolist() == [] and rows[3000].indices.tolist() == []
+    assert rows[1].indices.tolist() == [0] and rows[2999].indices.tolist() == [2998]
+    codes = {r["o"]: r["codes"] for r in baskets.basket_codes(df, "o", "item").collect()}
+    assert codes[7] == [7] and codes[3000] == []
+
+
+def test_poisson_draws_reach_the_tail():
+    steps = ensembles.poisson_steps(30.0)
+    assert len(steps) > 60 and steps == sorted(steps) and steps[-1] > 1 - 2.0**-32
