@@ -303,6 +303,34 @@ def test_packing_of_odd_rows(odd, none):
     assert packing.packed(none).count() == 0
 
 
+def test_large_groups_are_packed_as_densely_as_small_ones(spark):
+    draw = np.random.default_rng(9)
+    lengths = np.minimum(packing.LENGTH, draw.lognormal(6.3, 0.8, 120_000).astype(int) + 1).tolist()
+    pieces = spark.createDataFrame(
+        [(i, 0, 0, n) for i, n in enumerate(lengths)], "doc_id long, copy long, piece int, length long"
+    )
+    rows = packing.pack(pieces).collect()
+    ends, fullest = {}, -(-sum(lengths) // packing.LENGTH)
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert sorted(r["length"] for r in rows) == sorted(lengths)
+    assert max(ends.values()) <= packing.LENGTH and len(ends) <= 1.003 * fullest
+
+
+@pytest.mark.parametrize("bins", [1, 2, 7])
+def test_runs_never_need_more_bins_than_may_be_open(bins):
+    draw = random.Random(bins)
+    lengths = np.array([draw.randint(1, 100) for _ in range(3000)])
+    spans = list(packing.runs(lengths, max(100, bins * 100 // 2)))
+    assert [a for a, _ in spans] == [0, *(b for _, b in spans[:-1])] and spans[-1][1] == len(lengths)
+    for at, to in spans:
+        fit = packing.BestFit(100, bins)
+        for n in sorted(lengths[at:to].tolist(), reverse=True):
+            fit.place(n)
+        assert fit.made <= bins
+
+
 # 10. languages
 
 

@@ -5,8 +5,10 @@ least free space that still holds it. Open bins are kept by their free space, an
 integer with bit f set if a bin with f free places is open, finds the least f that is large enough.
 Only so many bins may be open; beyond that the fullest closes first.
 
-Only the lengths of pieces are packed. They are dealt by a hash into groups of bounded size, each
-packed by itself; inside a group longer pieces come first, which leaves the small ones to fill gaps.
+Only the lengths of pieces are packed. They are dealt by a hash into groups of bounded size. A group
+is taken in hash order, in runs that cannot need more bins than may be open; inside a run longer
+pieces come first, which leaves the small ones to fill gaps. So no bin closes before the small pieces
+of its run have come.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillwork.llm.base import frugal, query, small_batches, table
 from tillwork.llm.encoding import Encoder
@@ -113,33 +116,54 @@ def cut_pieces(
     return read.mapInArrow(frugal(pieces), PIECES)
 
 
+def runs(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(from, to) of successive stretches of ``lengths`` with a sum of at most ``most``, or one long."""
+    ends, at = np.cumsum(lengths), 0
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield at, to
+        at = to
+
+
 def pack(
     pieces: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, group: int = GROUP
 ) -> DataFrame:
     """``pieces`` (doc_id, copy, piece, length, ...) with sequence_id and offset.
 
-    A sequence has at most ``length`` tokens, its offsets are gapless from 0. Equal pieces are
-    placed one after the other in the order of (doc_id, copy, piece), null ids first. No pieces, no
-    sequences. ``pieces`` is written to the shared folder, so it is made once.
+    A sequence has at most ``length`` tokens, its offsets are gapless from 0. Pieces of one length and
+    run are placed one after the other in the order of (doc_id, copy, piece), null ids first. Of the
+    bins of a run at most one is half empty or more, so ``open_bins`` hold a run of half as many full
+    ones. No pieces, no sequences. ``pieces`` is written to the shared folder, so it is made once.
     """
     pieces = cut(pieces)
     groups = max(1, -(-pieces.count() // group))
     names = pieces.columns
-    schema = pieces.schema.add("__group", "long").add("sequence_id", "long").add("offset", "long")
+    hashed = pieces.withColumn("__hash", F.xxhash64(F.lit("pack"), "doc_id", "copy", "piece"))
+    hashed = hashed.withColumn("__group", F.pmod("__hash", F.lit(groups)))
+    schema = StructType([*hashed.schema]).add("sequence_id", "long").add("offset", "long")
 
     def place(part: pa.Table) -> pa.Table:
-        keys = [("length", "descending"), *((k, "ascending") for k in ("doc_id", "copy", "piece"))]
-        part = part.take(pc.sort_indices(part, sort_keys=keys, null_placement="at_start"))
-        bins = BestFit(length, open_bins)
-        placed = [bins.place(n) for n in part.column("length").to_pylist()]
-        base = part.column("__group")[0].as_py() << 32
-        ids = pa.array([base + b for b, _ in placed], pa.int64())
-        offsets = pa.array([o for _, o in placed], pa.int64())
-        return part.append_column("sequence_id", ids).append_column("offset", offsets)
-
-    dealt = F.pmod(F.xxhash64(F.lit("pack"), "doc_id", "copy", "piece"), F.lit(groups))
+        ties = [(k, "ascending") for k in ("doc_id", "copy", "piece")]
+
+        def ordered(rows: pa.Table, *first: tuple[str, str]) -> pa.Table:
+            return rows.take(pc.sort_indices(rows, sort_keys=[*first, *ties], null_placement="at_start"))
+
+        part = ordered(part, ("__hash", "ascending"))
+        lengths = part.column("length").to_numpy()
+        base, done = part.column("__group")[0].as_py() << 32, []
+        for at, to in runs(lengths, max(length, open_bins * length // 2)):
+            run = ordered(part.slice(at, to - at), ("length", "descending"))
+            bins = BestFit(length, open_bins)
+            placed = [bins.place(n) for n in run.column("length").to_pylist()]
+            ids = pa.array([base + b for b, _ in placed], pa.int64())
+            offsets = pa.array([o for _, o in placed], pa.int64())
+            done.append(run.append_column("sequence_id", ids).append_column("offset", offsets))
+            base += bins.made
+        return pa.concat_tables(done)
+
     return (
-        pieces.withColumn("__group", dealt)
+        hashed
         .groupBy("__group")
         .applyInArrow(place, schema)
         .select(*names, "sequence_id", "offset")
