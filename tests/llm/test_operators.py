@@ -361,6 +361,22 @@ def test_first_ids_of_each_language(spark):
     assert language.first_by_hash(ids.limit(0), 10, 3) == []
 
 
+def test_every_label_is_learned(spark):
+    rows = [
+        (i, " ".join(f"{chr(97 + i % 230 // 15)}{chr(97 + i % 230 % 15)}q" for _ in range(6)), f"l{i % 230:03}")
+        for i in range(230 * 8)
+    ]
+    rows += [(10_000 + i, "zzx xzz zxz xxz", "zz") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = language.fit(docs)
+    assert set(model.languages) == {r[2] for r in rows}
+    got = language.identify(docs, model).collect()
+    assert np.mean([r["lang_pred"] == r["lang"] for r in got if r["lang"] == "zz"]) == 1
+    assert np.mean([r["lang_pred"] == r["lang"] for r in got]) > 0.9
+    sizes = [language.share(n) for n in (0, 1, 200, 400, 10**6)]
+    assert sizes == [800, 800, 800, 400, language.LEAST]
+
+
 def test_pipeline(spark, small):
     import corpus_pipeline
 

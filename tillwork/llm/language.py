@@ -5,6 +5,7 @@ by TF-IDF with unit length. Document frequencies come from all learnable documen
 are trained with follow-the-regularised-leader (per-coordinate, elastic-net penalty) on at most
 ``SAMPLE`` labelled documents a language, chosen by a hash of their id; the probabilities are then
 calibrated by one temperature, fitted on other documents, at most ``CALIBRATION`` a language.
+Every label that occurs is a class; beyond 200 labels there are fewer documents of each.
 Prediction reads the text alone.
 """
 
@@ -26,8 +27,8 @@ BUCKETS = 1 << 15
 ORDERS = 3
 #: Documents a language that the weights, and the temperature, are fitted on at most.
 SAMPLE, CALIBRATION = 600, 200
-#: Languages at most, by number of documents.
-LANGUAGES = 200
+#: Sampled documents of all languages together, unless that leaves fewer than ``LEAST`` a language.
+DOCUMENTS, LEAST = 160_000, 8
 EPOCHS, ALPHA, BETA, L1, L2 = 4, 0.5, 1.0, 0.02, 0.02
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -112,7 +113,9 @@ def train(examples: list[tuple[np.ndarray, np.ndarray, int]], buckets: int, clas
             n[at] += g * g
             zb += error - (np.sqrt(nb + error * error) - np.sqrt(nb)) / ALPHA * b
             nb += error * error
-    return weights(z, n, L1, L2), weights(zb, nb, 0.0, 0.0)
+    for at in range(0, buckets, 1024):  # in place: z and n grow with the number of classes
+        z[at : at + 1024] = weights(z[at : at + 1024], n[at : at + 1024], L1, L2)
+    return z, weights(zb, nb, 0.0, 0.0)
 
 
 def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
@@ -168,16 +171,24 @@ def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
     return frequencies, texts
 
 
-def first_by_hash(ids: DataFrame, bound: int, languages: int) -> list[Row]:
+def share(languages: int) -> int:
+    """Sampled documents of each language at most, to fit and to calibrate on."""
+    return min(SAMPLE + CALIBRATION, max(LEAST, DOCUMENTS // max(1, languages)))
+
+
+def first_by_hash(ids: DataFrame, bound: int, languages: int | None = None) -> list[Row]:
     """The first ``bound`` (__id, __lang, __rank) of each language by the hash of doc_id.
 
-    The ``languages`` with most rows up to ``bound`` are taken, by name where equal. Counts tell
-    below which hash some four times the rows wanted lie, so only those are ranked; a language
-    that comes out short, as with one id repeated, is ranked again with more, at last with all.
+    All languages are taken, or the ``languages`` with most rows, by name where equal; of many
+    languages ``share`` rows each. Counts tell below which hash some four times the rows wanted
+    lie, so only those are ranked; a language that comes out short, as with one id repeated, is
+    ranked again with more, at last with all.
     """
     counts = ids.groupBy("lang").agg(F.count("*").alias("n"))
-    most = counts.orderBy(F.least("n", F.lit(bound)).desc(), "lang").limit(languages).collect()
-    left, times, out = {r["lang"]: r["n"] for r in most}, 4, []
+    if languages is not None:
+        counts = counts.orderBy(F.desc("n"), "lang").limit(languages)
+    left, times, out = {r["lang"]: r["n"] for r in counts.collect()}, 4, []
+    bound = min(bound, share(len(left)))
     while left:
         ends = [
             (x, min(2**64 - 1, (times * bound << 64) // n) - 2**63) for x, n in left.items()
@@ -189,7 +200,7 @@ def first_by_hash(ids: DataFrame, bound: int, languages: int) -> list[Row]:
         )
         order = Window.partitionBy("__lang").orderBy("__hash", "doc_id")
         ranked = first.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= bound)
-        # Bounded: languages x bound ids.
+        # Bounded: DOCUMENTS ids, or LEAST a language.
         found = ranked.select(F.col("doc_id").alias("__id"), "__lang", "__rank").collect()
         sizes = Counter(r["__lang"] for r in found)
         short = {x: n for x, n in left.items() if sizes[x] < min(n, bound) and times * bound < n}
@@ -202,13 +213,13 @@ def fit(docs: DataFrame) -> Model:
     """Learn from ``docs`` (doc_id, text, lang); without learnable rows nothing is learned."""
     rows = learnable(small_batches(docs))
     lettered = rows.where(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang")
-    chosen = first_by_hash(lettered, SAMPLE + CALIBRATION, LANGUAGES)
+    chosen = first_by_hash(lettered, SAMPLE + CALIBRATION)
     if not chosen:
         return Model([], np.zeros(BUCKETS), np.zeros((BUCKETS, 0)), np.zeros(0))
     sizes = Counter(r["__lang"] for r in chosen)
     languages = sorted(sizes)
     number = {x: i for i, x in enumerate(languages)}
-    # Bounded: LANGUAGES x (SAMPLE + CALIBRATION) ids.
+    # Bounded: DOCUMENTS ids, or LEAST a language.
     spark = docs.sparkSession
     wanted = spark.createDataFrame(
         [(r["__id"], r["__lang"], r["__rank"]) for r in chosen],
@@ -235,11 +246,12 @@ def fit(docs: DataFrame) -> Model:
         .select("__lang", "__rank", "text")
         .mapInArrow(frugal(featurise), "lang string, rank int, at binary, value binary")
     )
+    fitted_on = share(len(languages)) * SAMPLE // (SAMPLE + CALIBRATION)
     fitting, checking, labels = [], [], []
     for r in sorted(sample.collect()):
         at, values = np.frombuffer(r["at"], "<i4"), np.frombuffer(r["value"], "<f4").astype(float)
         # Languages with few documents are fitted on all of them.
-        if r["rank"] <= max(SAMPLE, 0) and not (sizes[r["lang"]] > 8 and r["rank"] % 4 == 0):
+        if r["rank"] <= fitted_on and not (sizes[r["lang"]] > 8 and r["rank"] % 4 == 0):
             fitting.append((at, values, number[r["lang"]]))
         else:
             checking.append((at, values))
