@@ -377,6 +377,25 @@ def test_every_label_is_learned(spark):
     assert sizes == [800, 800, 800, 400, language.LEAST]
 
 
+def test_rows_of_a_repeated_id_do_not_grow_the_sample(spark, monkeypatch):
+    rows = [(3, f"der alte hund {i}", "de") for i in range(300)] + [(3, "12 34", "de")] * 50
+    rows += [(i, f"the old dog {i}", "en") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    monkeypatch.setattr(language, "SAMPLE", 30)
+    monkeypatch.setattr(language, "CALIBRATION", 10)
+    seen, train = [], language.train
+
+    def counted(examples, *rest):
+        seen.append(len(examples))
+        return train(examples, *rest)
+
+    monkeypatch.setattr(language, "train", counted)
+    sizes = []
+    monkeypatch.setattr(language, "fit_temperature", lambda logits, labels: sizes.append(len(labels)) or 1.0)
+    assert set(language.fit(docs).languages) == {"de", "en"}
+    assert seen[0] + sizes[0] <= 2 * (30 + 10)
+
+
 def test_pipeline(spark, small):
     import corpus_pipeline
 

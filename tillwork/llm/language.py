@@ -221,10 +221,11 @@ def fit(docs: DataFrame) -> Model:
     number = {x: i for i, x in enumerate(languages)}
     # Bounded: DOCUMENTS ids, or LEAST a language.
     spark = docs.sparkSession
-    wanted = spark.createDataFrame(
-        [(r["__id"], r["__lang"], r["__rank"]) for r in chosen],
-        "__id long, __lang string, __rank int",
-    )
+    firsts = {}
+    for r in chosen:
+        key = r["__id"], r["__lang"]
+        firsts[key] = min(r["__rank"], firsts.get(key, r["__rank"]))
+    wanted = spark.createDataFrame([(*k, rank) for k, rank in firsts.items()], "__id long, __lang string, __first int")
     frequencies, texts = document_frequencies(rows)
     model = Model(languages, np.log((1 + texts) / (1 + frequencies)) + 1, None, None)
 
@@ -241,14 +242,19 @@ def fit(docs: DataFrame) -> Model:
                 names=["lang", "rank", "at", "value"],
             )
 
+    # All rows of a repeated id join, so they are ranked again: a language has no more rows than bound.
+    bound = share(len(languages))
+    order = Window.partitionBy("__lang").orderBy("__first", F.xxhash64("text"), "text")
     sample = (
-        rows.join(F.broadcast(wanted), (F.col("doc_id") == F.col("__id")) & (F.col("lang") == F.col("__lang")))
-        .select("__lang", "__rank", "text")
+        rows.where(F.col("text").rlike(r"\p{L}"))
+        .join(F.broadcast(wanted), (F.col("doc_id") == F.col("__id")) & (F.col("lang") == F.col("__lang")))
+        .select("__lang", "text", F.row_number().over(order).alias("__rank"))
+        .where(F.col("__rank") <= bound)
         .mapInArrow(frugal(featurise), "lang string, rank int, at binary, value binary")
     )
-    fitted_on = share(len(languages)) * SAMPLE // (SAMPLE + CALIBRATION)
+    fitted_on = bound * SAMPLE // (SAMPLE + CALIBRATION)
     fitting, checking, labels = [], [], []
-    for r in sorted(sample.collect()):
+    for r in sorted(sample.collect()):  # bounded: ``bound`` rows a language
         at, values = np.frombuffer(r["at"], "<i4"), np.frombuffer(r["value"], "<f4").astype(float)
         # Languages with few documents are fitted on all of them.
         if r["rank"] <= fitted_on and not (sizes[r["lang"]] > 8 and r["rank"] % 4 == 0):
