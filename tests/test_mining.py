@@ -102,6 +102,22 @@ def test_rules_with_full_confidence_and_small_baskets(spark):
     assert baskets.frequent_itemsets(df.limit(0)).count() == 0
 
 
+def test_kmeans_queries_take_all_rows(spark, small, monkeypatch):
+    from tillwork.plans import QUERIES
+    from tillwork.sources import transactions
+
+    calls = []
+
+    def seen(df, features, *_, max_iter, seeds):
+        calls.append((df.count(), max_iter, len(set(seeds))))
+
+    for name in ("kmeans_sweep", "kmeans_centroids"):
+        monkeypatch.setattr(cluster, name, seen)
+        QUERIES[name](spark, small)
+    rows = transactions(spark, small, "row_key").count()
+    assert rows and [(n, i) for n, i, _ in calls] == [(rows, 100)] * 2 and all(s > 1 for *_, s in calls)
+
+
 def test_kmeans_sweep_and_projection(spark):
     rng = np.random.default_rng(3)
     xy = np.concatenate([rng.normal(c, 0.3, (60, 2)) for c in ((0, 0), (5, 5), (0, 8))])

@@ -78,8 +78,11 @@ def kmeans_centroids(
 ) -> DataFrame:
     """Centroids in original units, from a fit on standardized features, with cluster sizes."""
     fitted = moments(df, features)
-    vectors = assemble(standardize(df, features, fitted), features).select("features")
-    model = fit_kmeans(vectors, k, max_iter, seeds)
+    vectors = assemble(standardize(df, features, fitted), features).select("features").persist()
+    try:
+        model = fit_kmeans(vectors, k, max_iter, seeds)
+    finally:
+        vectors.unpersist()
     rows = [
         (i, int(size), *[float(v * (fitted[c][1] or 1.0) + fitted[c][0]) for c, v in zip(features, centre)])
         for i, (centre, size) in enumerate(zip(model.clusterCenters(), model.summary.clusterSizes))
