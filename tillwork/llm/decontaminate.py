@@ -1,6 +1,7 @@
 """Finds passages of benchmark items in training text through a positional inverted index.
 
-The index is distributed by documents: each block of them holds, for every word that an item uses,
+The index is distributed by documents and transient: it is built for one Arrow batch of them, over
+the words that occur in items, searched and dropped; no postings are stored. Each block holds, for every word that an item uses,
 the sorted positions of that word in the block, documents lying one after the other with a gap
 between them. A passage of k words is looked up from its rarest word in the block: the positions of
 that word, less its offset in the passage, are the candidate starts, and the lists of the other
