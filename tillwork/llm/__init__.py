@@ -1,6 +1,7 @@
 """Operators for training-data pipelines, with their queries."""
 
 from tillwork.llm import (  # noqa: F401
+    alignment,
     conversations,
     decontaminate,
     language,
