@@ -7,6 +7,7 @@ from tillwork.llm import (  # noqa: F401
     language,
     line_dedup,
     near_dedup,
+    overlap_join,
     packing,
     shard,
     suffix_dedup,
