@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillwork.operators import baskets, cluster, encode, ensembles, resample, trees
+from tillwork.operators import baskets, cluster, encode, ensembles, kmeans, resample, trees
 from tillwork.operators.dbscan import dbscan
 from tillwork.operators.models import with_vector
 
@@ -102,33 +102,92 @@ def test_rules_with_full_confidence_and_small_baskets(spark):
     assert baskets.frequent_itemsets(df.limit(0)).count() == 0
 
 
-def test_kmeans_queries_take_all_rows(spark, small, monkeypatch):
-    from tillwork.plans import QUERIES
+def blobs(n=60):
+    rng = np.random.default_rng(3)
+    return np.concatenate([rng.normal(c, 0.3, (n, 2)) for c in ((0, 0), (5, 5), (0, 8))])
+
+
+def brute_silhouette(x, label):
+    """Mean silhouette on squared distances over all pairs."""
+    d = ((x[:, None] - x[None]) ** 2).sum(2)
+    out = []
+    for i, own in enumerate(label):
+        mine = (label == own) & (np.arange(len(x)) != i)
+        if not mine.any():
+            out.append(0.0)
+            continue
+        a = d[i, mine].mean()
+        b = min(d[i, label == c].mean() for c in set(label.tolist()) - {own})
+        out.append((b - a) / max(a, b))
+    return float(np.mean(out))
+
+
+def test_all_kmeans_fits_advance_in_shared_passes(spark):
+    rng = np.random.default_rng(8)
+    x = np.concatenate([blobs(), rng.uniform(-3, 9, (40, 2)), np.tile([[9.0, 9.0]], (90, 1))])
+    df = spark.createDataFrame([tuple(map(float, p)) for p in x], "x double, y double").repartition(5)
+    costs = []
+    fits = kmeans.fit_many(
+        df, ["x", "y"], (2, 3, 5), restarts=4, on_pass=lambda f: costs.append([g.cost for g in f])
+    )
+    # As many passes as the slowest fit takes, whatever the number of fits.
+    assert len(costs) == max(f.passes for f in fits) and len(fits) == 12
+    for earlier, later in zip(costs, costs[1:]):
+        assert all(b <= a + 1e-6 for a, b in zip(earlier, later))
+    for fit in fits:
+        d = ((x[:, None] - fit.centres[None]) ** 2).sum(2)
+        label = d.argmin(1)
+        assert fit.cost == pytest.approx(d.min(1).sum())
+        assert fit.sizes.tolist() == np.bincount(label, minlength=fit.k).tolist()
+    best = kmeans.best_fits(fits)
+    scores = kmeans.silhouettes(df, ["x", "y"], [best[k] for k in (2, 3, 5)])
+    for k, score in zip((2, 3, 5), scores):
+        label = ((x[:, None] - best[k].centres[None]) ** 2).sum(2).argmin(1)
+        assert score == pytest.approx(brute_silhouette(x, label))
+
+
+def test_kmeans_costs_are_no_worse_than_the_librarys(spark, small):
+    from pyspark.ml.clustering import KMeans
+
     from tillwork.sources import transactions
 
-    calls = []
+    columns = ["price", "quantity", "discount_pct"]
+    df = encode.standardize(transactions(spark, small, *columns), columns).cache()
+    vectors = cluster.assemble(df, columns).select("features").cache()
+    best = kmeans.best_fits(kmeans.fit_many(df, columns, (3, 6)))
+    for k in (3, 6):
+        library = min(
+            KMeans(k=k, maxIter=100, seed=s).fit(vectors).summary.trainingCost for s in (42, 43, 44)
+        )
+        assert best[k].cost <= library * 1.005
 
-    def seen(df, features, *_, max_iter, seeds):
-        calls.append((df.count(), max_iter, len(set(seeds))))
 
-    for name in ("kmeans_sweep", "kmeans_centroids"):
-        monkeypatch.setattr(cluster, name, seen)
-        QUERIES[name](spark, small)
-    rows = transactions(spark, small, "row_key").count()
-    assert rows and [(n, i) for n, i, _ in calls] == [(rows, 100)] * 2 and all(s > 1 for *_, s in calls)
+def test_kmeans_of_few_and_equal_rows(spark):
+    df = spark.createDataFrame([(1.0, 2.0)] * 5 + [(4.0, 2.0)] * 3 + [(None, 1.0)], "x double, y double")
+    fits = kmeans.best_fits(kmeans.fit_many(df, ["x", "y"], (2, 4), restarts=2))
+    assert fits[2].cost == pytest.approx(0) and sorted(fits[2].sizes.tolist()) == [3, 5]
+    assert len(fits[4].centres) == 2
+    with pytest.raises(ValueError):
+        kmeans.fit_many(df.limit(0), ["x", "y"], (2,))
 
 
 def test_kmeans_sweep_and_projection(spark):
-    rng = np.random.default_rng(3)
-    xy = np.concatenate([rng.normal(c, 0.3, (60, 2)) for c in ((0, 0), (5, 5), (0, 8))])
-    df = spark.createDataFrame([tuple(map(float, p)) for p in xy], "x double, y double")
-    sweep = cluster.kmeans_sweep(df, ["x", "y"], (2, 3, 4), seeds=(1, 2, 3))
+    df = spark.createDataFrame([tuple(map(float, p)) for p in blobs()], "x double, y double")
+    sweep, fits = cluster.kmeans_sweep(df, ["x", "y"], (2, 3, 4))
     rows = sorted(sweep.collect())
     assert rows[0]["wcss"] >= rows[1]["wcss"] >= rows[2]["wcss"]
     assert cluster.best_k(sweep) == 3
     projected, loadings = cluster.pca_2d(df, ["x", "y"])
     assert projected.agg(F.avg("pc1")).first()[0] == pytest.approx(0, abs=1e-9)
-    assert all(col[np.argmax(np.abs(col))] > 0 for col in loadings.T)
+    assert all(col[np.argmax(np.abs(col).round(9))] > 0 for col in loadings.T)
+    centroids = {r["cluster"]: r for r in cluster.kmeans_centroids(df, ["x", "y"], fits[3]).collect()}
+    assert sorted(r["n"] for r in centroids.values()) == [60, 60, 60]
+    # The projection of a centroid is the mean of its rows' projections.
+    scaled = encode.standardize(df, ["x", "y"])
+    planes, _ = cluster.pca_2d(cluster.assign_to(scaled, ["x", "y"], fits[3].centres), ["x", "y"])
+    means = {r["cluster"]: (r["a"], r["b"]) for r in planes.groupBy("cluster").agg(F.avg("pc1").alias("a"), F.avg("pc2").alias("b")).collect()}
+    for r in cluster.projected_centroids(spark, fits[3], loadings).collect():
+        assert (r["pc1"], r["pc2"]) == pytest.approx(means[r["cluster"]], abs=1e-2)
 
 
 @pytest.fixture(scope="module")

@@ -3,54 +3,40 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwork.operators import kmeans
 from tillwork.operators.encode import moments, standardize
+from tillwork.operators.models import persisted
 
 
 def assemble(df: DataFrame, features: Sequence[str], output: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=output).transform(df)
 
 
-def fit_kmeans(vectors: DataFrame, k: int, max_iter: int = 100, seeds: Sequence[int] = (42,)) -> KMeansModel:
-    """The fit with the lowest cost over several seeds."""
-    fits = [KMeans(k=k, maxIter=max_iter, seed=s, initMode="k-means||").fit(vectors) for s in seeds]
-    return min(fits, key=lambda m: m.summary.trainingCost)
-
-
 def kmeans_sweep(
     df: DataFrame,
     features: Sequence[str],
     ks: Sequence[int] = range(2, 11),
     max_iter: int = 100,
-    seeds: Sequence[int] = (42,),
-    parallelism: int = 4,
-) -> DataFrame:
-    """(k, wcss, silhouette) on standardized features.
+    restarts: int = 10,
+    seed: int = 42,
+) -> tuple[DataFrame, dict[int, kmeans.Fit]]:
+    """(k, wcss, silhouette) on standardized features, and the best fit of each k.
 
-    The silhouette uses squared distances, which needs one pass instead of all pairs of rows.
+    All numbers of clusters and all their restarts advance in the same passes over the rows. The
+    silhouette uses squared distances, which needs a few passes instead of all pairs of rows.
     """
-    vectors = assemble(standardize(df, features), features).select("features").persist()
-
-    def run(k: int) -> tuple[int, float, float]:
-        model = fit_kmeans(vectors, k, max_iter, seeds)
-        silhouette = ClusteringEvaluator().evaluate(model.transform(vectors))
-        return k, float(model.summary.trainingCost), float(silhouette)
-
-    try:
-        with ThreadPool(min(parallelism, len(ks))) as pool:
-            rows = pool.map(run, ks)
-    finally:
-        vectors.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k int, wcss double, silhouette double")
+    with persisted(standardize(df, features).select(*features)) as rows:
+        fits = kmeans.best_fits(kmeans.fit_many(rows, features, ks, restarts, max_iter, seed=seed))
+        scores = kmeans.silhouettes(rows, features, [fits[k] for k in ks])
+    table = [(k, fits[k].cost, score) for k, score in zip(ks, scores)]
+    return df.sparkSession.createDataFrame(table, "k int, wcss double, silhouette double"), fits
 
 
 def best_k(sweep: DataFrame) -> int:
@@ -73,24 +59,24 @@ def assign_to(df: DataFrame, features: Sequence[str], centres: Sequence[Sequence
     return df.withColumn("cluster", nearest.cast("int"))
 
 
-def kmeans_centroids(
-    df: DataFrame, features: Sequence[str], k: int, max_iter: int = 100, seeds: Sequence[int] = (42,)
-) -> DataFrame:
-    """Centroids in original units, from a fit on standardized features, with cluster sizes."""
+def kmeans_centroids(df: DataFrame, features: Sequence[str], fit: kmeans.Fit) -> DataFrame:
+    """Centroids in original units, of a fit on standardized features, with cluster sizes."""
     fitted = moments(df, features)
-    vectors = assemble(standardize(df, features, fitted), features).select("features").persist()
-    try:
-        model = fit_kmeans(vectors, k, max_iter, seeds)
-    finally:
-        vectors.unpersist()
     rows = [
         (i, int(size), *[float(v * (fitted[c][1] or 1.0) + fitted[c][0]) for c, v in zip(features, centre)])
-        for i, (centre, size) in enumerate(zip(model.clusterCenters(), model.summary.clusterSizes))
+        for i, (centre, size) in enumerate(zip(fit.centres, fit.sizes))
     ]
     schema = "cluster int, n long, " + ", ".join(f"{c} double" for c in features)
     return df.sparkSession.createDataFrame(rows, schema)
 
 
+def projected_centroids(spark: SparkSession, fit: kmeans.Fit, loadings: np.ndarray) -> DataFrame:
+    """Centroids of a fit on standardized features in the plane of their principal components."""
+    rows = [(i, *map(float, point)) for i, point in enumerate(fit.centres @ loadings)]
+    schema = "cluster int, " + ", ".join(f"pc{i + 1} double" for i in range(loadings.shape[1]))
+    return spark.createDataFrame(rows, schema)
+
+
 def cluster_counts(df: DataFrame, cluster: str = "cluster") -> DataFrame:
     return df.groupBy(cluster).agg(F.count("*").alias("n")).orderBy(F.desc("n"), cluster)
 
@@ -104,7 +90,8 @@ def pca_2d(df: DataFrame, features: Sequence[str], k: int = 2) -> tuple[DataFram
     vectors = assemble(standardize(df, features), features, "__v")
     model = PCA(k=k, inputCol="__v", outputCol="__pc").fit(vectors)
     loadings = model.pc.toArray()
-    signs = [1.0 if col[np.argmax(np.abs(col))] >= 0 else -1.0 for col in loadings.T]
+    # Among equal magnitudes the first counts, however they were rounded.
+    signs = [1.0 if col[np.argmax(np.abs(col).round(9))] >= 0 else -1.0 for col in loadings.T]
     projected = model.transform(vectors).withColumn("__pc", vector_to_array("__pc"))
     out = projected.withColumns(
         {f"pc{i + 1}": F.col("__pc")[i] * F.lit(sign) for i, sign in enumerate(signs)}

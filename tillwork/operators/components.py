@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwork.session import cut
+from tillwork.session import stored
 
 DRIVER_EDGES = 100_000
 
@@ -17,15 +17,15 @@ def connected_components(edges: DataFrame, driver_edges: int = DRIVER_EDGES) ->
     smallest label among its neighbours and then the label of its label, until nothing changes;
     following labels halves the remaining distance, so few rounds are needed.
     """
-    edges = cut(edges.select("a", "b").distinct())
+    edges = stored(edges.select("a", "b").distinct())
     few = edges.limit(driver_edges + 1).collect()
     if len(few) <= driver_edges:
         return _on_driver(edges, few)
-    both = cut(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    both = stored(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = both.groupBy(F.col("a").alias("node")).agg(
         F.least(F.min("b"), F.first("a")).alias("component")
     )
-    labels = cut(labels)
+    labels = stored(labels)
     while True:
         # Minimum over the neighbours is combined before the shuffle, so a hub costs little.
         offered = (
@@ -37,7 +37,7 @@ def connected_components(edges: DataFrame, driver_edges: int = DRIVER_EDGES) ->
             "node", F.least("component", "offer").alias("step"), F.col("component").alias("old")
         )
         jump = labels.select(F.col("node").alias("step"), F.col("component").alias("next"))
-        moved = cut(
+        moved = stored(
             lower.join(jump, "step").select("node", F.least("step", "next").alias("component"), "old")
         )
         if moved.where("component <> old").limit(1).count() == 0:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillwork.operators import baskets, cluster, neighbors, resample
+from tillwork.operators import baskets, cluster, neighbors, outliers, resample
 from tillwork.operators.dbscan import dbscan
 from tillwork.operators.encode import label_high_low, standardize
 from tillwork.operators.split import kfold_assign, train_test_split
@@ -12,8 +12,7 @@ from tillwork.plans.registry import hash32_sql, query
 from tillwork.sources import table, transactions
 
 CLUSTER_FEATURES = ("price", "quantity", "discount_pct")
-#: Starts of k-means; the one of lowest cost counts.
-CLUSTER_SEEDS = (42, 43, 44)
+CLUSTER_KS = range(2, 11)
 
 # Whole-table brute force is affordable in SQL on the part and customer tables only.
 SCALED_PARTS = """
@@ -193,15 +192,39 @@ def smote_tomek(spark, sf):
 
 @query("kmeans_sweep")
 def kmeans_sweep(spark, sf):
-    """Elbow and silhouette curve on all rows."""
-    df = transactions(spark, sf, *CLUSTER_FEATURES)
-    return cluster.kmeans_sweep(df, CLUSTER_FEATURES, range(2, 11), max_iter=100, seeds=CLUSTER_SEEDS)
+    """Elbow and silhouette curve on all rows: ten restarts of each number of clusters."""
+    return cluster.kmeans_sweep(transactions(spark, sf, *CLUSTER_FEATURES), CLUSTER_FEATURES, CLUSTER_KS)[0]
+
+
+def _best_fit(df):
+    """The fit with the best silhouette of the sweep."""
+    sweep, fits = cluster.kmeans_sweep(df, CLUSTER_FEATURES, CLUSTER_KS)
+    return fits[cluster.best_k(sweep)]
 
 
 @query("kmeans_centroids")
 def kmeans_centroids(spark, sf):
+    """Centroids, in original units, of the number of clusters that the silhouette prefers."""
+    df = transactions(spark, sf, *CLUSTER_FEATURES)
+    return cluster.kmeans_centroids(df, CLUSTER_FEATURES, _best_fit(df))
+
+
+@query("kmeans_centroids_pca")
+def kmeans_centroids_pca(spark, sf):
+    """The same centroids in the plane of the two principal components of the rows."""
+    df = transactions(spark, sf, *CLUSTER_FEATURES)
+    _, loadings = cluster.pca_2d(df, CLUSTER_FEATURES)
+    return cluster.projected_centroids(spark, _best_fit(df), loadings)
+
+
+@query("scatter_by_cluster")
+def scatter_by_cluster(spark, sf):
+    """Rows per cluster in bins of (price, quantity), standardized, and of the principal components."""
     df = transactions(spark, sf, *CLUSTER_FEATURES)
-    return cluster.kmeans_centroids(df, CLUSTER_FEATURES, 3, max_iter=100, seeds=CLUSTER_SEEDS)
+    fit = _best_fit(df)
+    assigned = cluster.assign_to(standardize(df, CLUSTER_FEATURES), CLUSTER_FEATURES, fit.centres)
+    projected, _ = cluster.pca_2d(assigned, CLUSTER_FEATURES)
+    return outliers.scatter_bins(projected, [("price", "quantity"), ("pc1", "pc2")], group="cluster")
 
 
 # Centres in standardized units, for the assignment step alone.

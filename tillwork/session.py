@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,3 +47,16 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder and drop its lineage."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    For loops: a checkpoint keeps the size that the optimizer estimated, a join multiplies the
+    estimates of its sides, and a few rounds of joins make them numbers of millions of digits.
+    A table has the size of its files.
+    """
+    spark = df.sparkSession
+    target = f"{shared_dir(spark)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(target)
+    return spark.read.schema(df.schema).parquet(target)
