@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillwork.operators import baskets, cluster, encode, ensembles, kmeans, resample, trees
+from tillwork.operators import baskets, cluster, encode, ensembles, kmeans, resample
 from tillwork.operators.dbscan import dbscan
 from tillwork.operators.models import with_vector
 
@@ -201,22 +201,6 @@ def labelled(spark):
     return with_vector(df, ["a", "b"]).persist()
 
 
-def test_pruning_path(spark, labelled):
-    train = labelled.where("split = 'train'")
-    model, tree = trees.fit_tree(train, ["a", "b"], max_depth=6)
-    path = trees.ccp_path(tree, spark).orderBy("step").collect()
-    alphas, leaves = [r["alpha"] for r in path], [r["leaves"] for r in path]
-    assert alphas == sorted(alphas) and leaves == sorted(leaves, reverse=True) and leaves[-1] == 1
-    assert [r["impurity"] for r in path] == sorted(r["impurity"] for r in path)
-    scored = trees.alpha_path(model, tree, labelled).orderBy("alpha").collect()
-    held_out = labelled.where("split = 'test'")
-    for (alpha, collapsed), row in zip(tree.pruning_path(), scored):
-        direct = held_out.select((tree.predict(collapsed) == F.col("label")).cast("double").alias("hit"))
-        assert row["test_accuracy"] == pytest.approx(direct.agg(F.avg("hit")).first()[0])
-    library = model.transform(held_out).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
-    assert scored[0]["test_accuracy"] == pytest.approx(library)
-
-
 def test_ensembles_beat_the_majority(spark, labelled):
     from pyspark.ml.classification import RandomForestClassifier
 

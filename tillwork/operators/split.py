@@ -44,23 +44,23 @@ def stratified_parts(
 
     A cut is a share of the class, or a column over the label and the ``size`` of its class giving
     a number of rows.
-    Rows are counted per class and hash prefix; that tells for nearly every prefix which part it
-    belongs to. Only rows in the one prefix a cut falls into are ranked, so no class is ever
-    sorted as a whole.
+    Rows are counted per class and hash prefix, which tells the one prefix a cut falls into; only
+    its rows are ranked, to find the row of the cut, and every row is then compared with the cuts of
+    its class. So no class is ever sorted as a whole, and the frame is read twice: for label and key
+    alone, and for the result, which needs no shuffle. Rows with the same key stay together.
     """
     shift = 32 - PREFIX_BITS
-    tagged = df.withColumn("__hash", hash32(key, seed)).withColumn(
-        "__prefix", F.shiftright("__hash", shift)
-    )
-    counts = tagged.groupBy(label, "__prefix").agg(F.count("*").alias("n"))
+    hashed = df.select(F.col(label).alias("__label"), hash32(key, seed).alias("__hash"), F.col(key).alias("__key"))
+    hashed = cut(hashed).withColumn("__prefix", F.shiftright("__hash", shift))
+    counts = hashed.groupBy("__label", "__prefix").agg(F.count("*").alias("n"))
     # At most 2^PREFIX_BITS rows per class.
-    order = Window.partitionBy(label).orderBy("__prefix")
+    order = Window.partitionBy("__label").orderBy("__prefix")
     running = counts.select(
-        label,
+        F.col("__label").alias(label),
         "__prefix",
         "n",
         F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
-        F.sum("n").over(Window.partitionBy(label)).alias("size"),
+        F.sum("n").over(Window.partitionBy("__label")).alias("size"),
     )
     bounds = []
     for i, share in enumerate(cuts):
@@ -72,29 +72,29 @@ def stratified_parts(
             F.max(F.when(holds, F.col("__prefix"))).alias(f"p{i}"),
             F.max(F.when(holds, wanted - (F.col("upto") - F.col("n")))).alias(f"r{i}"),
         ]
-    # One row per class, used by both halves below.
-    edges = cut(running.groupBy(F.col(label).alias("__label")).agg(*bounds))
-    # A checkpoint has no size statistics, so they are counted here; few labels make hot keys.
-    if edges.limit(BROADCAST_CLASSES + 1).count() <= BROADCAST_CLASSES:
-        edges = F.broadcast(edges)
-    joined = tagged.join(edges, F.col(label).eqNullSafe(F.col("__label")))
-    # An empty part leaves its cut without a prefix: everything lies beyond it.
-    cut_prefix = [F.coalesce(f"p{i}", F.lit(-1)) for i in range(len(cuts))]
-    on_edge = F.lit(False)
-    part = F.lit(0)
-    for prefix in cut_prefix:
-        on_edge = on_edge | (F.col("__prefix") == prefix)
-        part = part + (F.col("__prefix") > prefix).cast("int")
-    clear = joined.where(~on_edge).select(*df.columns, part.alias(name))
-    rank = F.row_number().over(Window.partitionBy(label, "__prefix").orderBy("__hash", key))
-    ranked = joined.where(on_edge).withColumn("__rank", rank)
+    edges = running.groupBy(F.col(label).alias("__label")).agg(*bounds)
+    at_cut = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"p{i}").alias("p"), F.col(f"r{i}").alias("r")) for i in range(len(cuts))])
+    wanted_rows = edges.select("__label", F.explode(at_cut).alias("c")).select("__label", "c.*").where("p is not null")
+    on_edge = hashed.join(
+        wanted_rows.withColumnRenamed("__label", "__l"),
+        F.col("__label").eqNullSafe(F.col("__l")) & (F.col("__prefix") == F.col("p")),
+    )
+    place = Window.partitionBy("__label", "i").orderBy("__hash", "__key")
+    ranked = on_edge.withColumn("__rank", F.row_number().over(place)).where(F.col("__rank") == F.col("r"))
+    # One row per class. A cut without a row has an empty part before it.
+    last = F.struct(F.col("__hash").alias("h"), F.col("__key").alias("k"))
+    found = ranked.groupBy("__label").agg(*[F.max(F.when(F.col("i") == i, last)).alias(f"c{i}") for i in range(len(cuts))])
+    found = cut(edges.select("__label").withColumnRenamed("__label", "__l").join(
+        found, F.col("__l").eqNullSafe(F.col("__label")), "left"
+    ).drop("__label"))
+    # A checkpoint has no size statistics, so they are counted here.
+    if found.limit(BROADCAST_CLASSES + 1).count() <= BROADCAST_CLASSES:
+        found = F.broadcast(found)
+    me = F.struct(hash32(key, seed).alias("h"), F.col(key).alias("k"))
     part = F.lit(0)
-    for i, prefix in enumerate(cut_prefix):
-        beyond = (F.col("__prefix") > prefix) | (
-            (F.col("__prefix") == prefix) & (F.col("__rank") > F.col(f"r{i}"))
-        )
-        part = part + beyond.cast("int")
-    return clear.unionByName(ranked.select(*df.columns, part.alias(name)))
+    for i in range(len(cuts)):
+        part = part + F.coalesce(me > F.col(f"c{i}"), F.lit(True)).cast("int")
+    return df.join(found, F.col(label).eqNullSafe(F.col("__l"))).select(*df.columns, part.alias(name))
 
 
 def stratified_split(

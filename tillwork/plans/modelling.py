@@ -20,8 +20,8 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from tillwork.functions.columns import date_parts, holiday_flag, weekend_flag
-from tillwork.operators import bayes, encode, ensembles, metrics, models, outliers, sales, trees
-from tillwork.operators.split import kfold_assign, stratified_split, train_test_split
+from tillwork.operators import bayes, encode, ensembles, forest, metrics, models, outliers, sales, trees
+from tillwork.operators.split import kfold_assign, stratified_parts, train_test_split
 from tillwork.plans.registry import hash32_sql, query
 from tillwork.session import cut
 from tillwork.sources import transactions
@@ -31,7 +31,8 @@ TOP = ("quantity", "price", "discount_pct")
 
 
 def classification_frame(spark, sf, folds=3):
-    """(row_key, label, seven features, split, fold)."""
+    """(row_key, label, seven features, split, fold): a fifth of each class is the test set, the rest
+    is dealt over stratified folds; test rows have fold -1."""
     df = encode.label_high_low(
         transactions(spark, sf, "row_key", *TOP, "transaction_date", "total_amount"),
         measured=transactions(spark, sf, "total_amount"),
@@ -43,7 +44,9 @@ def classification_frame(spark, sf, folds=3):
         *TOP,
         *[parts[c].alias(c) for c in ("month", "day", "hour", "day_of_week")],
     )
-    return kfold_assign(stratified_split(df, "label", 0.2), folds)
+    dealt = stratified_parts(df, "label", [0.2 + 0.8 * i / folds for i in range(folds)], "fold")
+    fold = F.col("fold") - 1
+    return dealt.withColumns({"split": F.when(fold < 0, "test").otherwise("train"), "fold": fold})
 
 
 def _split(df):
@@ -60,85 +63,112 @@ def _vectors(spark, sf, features=TOP, scale=False, folds=3):
     return _split(cut(vectors))
 
 
+def _binned(spark, sf, features=TOP, folds=3):
+    """The classification rows, binned once for any number of trees."""
+    df = classification_frame(spark, sf, folds)
+    return forest.binned(df, features, forest.class_channels("label", 2), F.col("fold"))
+
+
 def _report(name, predicted, spark):
     return metrics.comparison_row(predicted, name)
 
 
+def _forest_specs(n, features, rate=1.0, seed=5805, **options):
+    """Trees of a random forest: all rows drawn with replacement, a share of the features a split."""
+    return [
+        forest.Spec(max_features=features, max_depth=trees.UNBOUNDED, seed=seed + 7919 * i, bootstrap=rate, **options)
+        for i in range(n)
+    ]
+
+
 @query("feature_importance_cls")
 def feature_importance_cls(spark, sf):
-    train, _ = _vectors(spark, sf, FEATURES)
-    with models.persisted(train) as kept:
-        model = RandomForestClassifier(labelCol="label", numTrees=20, seed=5805).fit(kept)
-    return models.importance_table(model, FEATURES, spark)
+    """Importances of 100 unpruned trees."""
+    data = _binned(spark, sf, FEATURES)
+    return trees.importances(forest.grow(data, _forest_specs(100, trees.max_features("sqrt", len(FEATURES)))))
 
 
 REGRESSORS = ("quantity", "price", "discount_pct", "year", "month", "day", "day_of_week")
 
 
+def _amount_channels(label):
+    return [F.lit(1.0), F.col(label).cast("double")]
+
+
 @query("feature_importance_reg")
 def feature_importance_reg(spark, sf):
-    """Importances for the amount, after the sequential outlier filter, all features per split."""
-    df = transactions(spark, sf, *TOP, "transaction_date", "total_amount")
+    """Importances of 100 trees for the amount, after the sequential outlier filter, all features per split."""
+    df = transactions(spark, sf, "row_key", *TOP, "transaction_date", "total_amount")
     df = df.withColumns(date_parts("transaction_date"))
     kept = outliers.iqr_filter(df, ("quantity", "price", "discount_pct", "total_amount"))
-    forest = RandomForestRegressor(
-        labelCol="total_amount", numTrees=10, featureSubsetStrategy="all", seed=5805
-    )
-    model = forest.fit(models.with_vector(kept, REGRESSORS))
-    return models.importance_table(model, REGRESSORS, spark)
+    data = forest.binned(kept, REGRESSORS, _amount_channels("total_amount"), F.lit(0))
+    return trees.importances(forest.grow(data, _forest_specs(100, None, criterion="variance")))
+
+
+#: The grid of the pre-pruning search: 1,620 points on 3 folds.
+TREE_GRID = {
+    "criteria": ("gini", "entropy"), "splitters": ("best", "random"), "depths": (5, 10, None),
+    "splits": (2, 5, 10), "leaves": (1, 2, 5), "features": (None, "sqrt", "log2"),
+    "alphas": (0.0, 0.001, 0.01, 0.1, 0.2),
+}
 
 
 @query("decision_tree_grid")
 def decision_tree_grid(spark, sf):
-    train, _ = _vectors(spark, sf)
-    tree = DecisionTreeClassifier(labelCol="label", seed=5805)
-    points = models.param_points(tree, impurity=["gini", "entropy"], maxDepth=[5, 8])
-    return models.grid_search(tree, points, train, 3)[1]
+    """Accuracy of all points of the grid over stratified folds."""
+    return trees.tree_grid(_binned(spark, sf), 3, **TREE_GRID)[0]
 
 
-def _fitted_tree(spark, sf):
-    train, test = _vectors(spark, sf)
-    with models.persisted(train) as kept:
-        model, tree = trees.fit_tree(kept, TOP, max_depth=6)
-    return train, test, model, tree
+def _tuned(spark, sf):
+    """The data and how to grow the best tree of the grid, before any pruning."""
+    data = _binned(spark, sf)
+    _, point = trees.tree_grid(data, 3, **TREE_GRID)
+    return data, trees.spec_of(point, len(data.features))
 
 
 @query("tree_nodes")
 def tree_nodes(spark, sf):
-    *_, tree = _fitted_tree(spark, sf)
-    return tree.nodes(spark)
+    """The nodes of the tuned tree."""
+    data, spec = _tuned(spark, sf)
+    return trees.node_rows(forest.grow(data, [spec]))
 
 
 @query("ccp_path")
 def ccp_path(spark, sf):
-    *_, tree = _fitted_tree(spark, sf)
-    return trees.ccp_path(tree, spark)
+    """Leaves and impurity along the pruning path of the tuned tree."""
+    data, spec = _tuned(spark, sf)
+    return trees.pruning_path(forest.grow(data, [spec])).select("step", "alpha", "leaves", "impurity")
 
 
 @query("alpha_path")
 def alpha_path(spark, sf):
-    train, test, model, tree = _fitted_tree(spark, sf)
-    return trees.alpha_path(model, tree, train.unionByName(test))
+    """Train and test accuracy of the tuned tree for every alpha, from one growth."""
+    data, spec = _tuned(spark, sf)
+    return trees.pruning_path(forest.grow(data, [spec])).select("alpha", "leaves", "train_accuracy", "test_accuracy")
+
+
+def _alphas(data, spec):
+    """The alphas of the tuned tree but the last, which leaves the root alone."""
+    path = trees.pruning_path(forest.grow(data, [spec])).where("leaves > 1")
+    return sorted(r["alpha"] for r in path.select("alpha").collect())
 
 
 @query("alpha_cv")
 def alpha_cv(spark, sf):
-    train, _, _, tree = _fitted_tree(spark, sf)
-    alphas = [a for a, _ in tree.pruning_path()][:-1]
-    return trees.alpha_cv(train, TOP, alphas, 3, max_depth=6)
+    """Accuracy over folds for every alpha of the tuned tree."""
+    data, spec = _tuned(spark, sf)
+    return trees.alpha_cv(data, spec, 3, _alphas(data, spec))
 
 
 @query("pruned_tree")
 def pruned_tree(spark, sf):
-    """Alpha chosen on held-out folds; the pruned tree scores the test rows as one expression."""
-    train, test, _, tree = _fitted_tree(spark, sf)
-    path = tree.pruning_path()[:-1]
-    scores = trees.alpha_cv(train, TOP, [a for a, _ in path], 3, max_depth=6).collect()
-    best = max(scores, key=lambda r: (r["accuracy"], r["alpha"]))["alpha"]
+    """Alpha chosen on held-out folds; the pruned tuned tree scores the test rows."""
+    data, spec = _tuned(spark, sf)
+    scores = trees.alpha_cv(data, spec, 3, _alphas(data, spec))
+    best = scores.orderBy(F.desc("accuracy"), F.desc("alpha")).first()["alpha"]
+    tree = trees.pruned(trees.tree_of(forest.grow(data, [spec])), spec.criterion, best)
     _, held_out = _split(classification_frame(spark, sf))
-    predicted = held_out.select(
-        "label", tree.predict(tree.pruned_at(best)).cast("int").alias("prediction")
-    )
+    predicted = trees.predict(held_out, [tree], data, ["label"])
     return metrics.binary_metrics(predicted).withColumn("alpha", F.lit(best))
 
 
@@ -277,22 +307,33 @@ def nb_bernoulli(spark, sf):
 
 @query("rf_grid")
 def rf_grid(spark, sf):
-    train, _ = _vectors(spark, sf)
-    forest = RandomForestClassifier(labelCol="label", seed=5805)
-    points = models.param_points(forest, numTrees=[5, 10], maxDepth=[5])
-    return models.grid_search(forest, points, train, 3)[1]
+    """Forests of 50 and 100 trees, unbounded and of depth 10, over stratified folds."""
+    scored = trees.forest_grid(_binned(spark, sf), [(fold, ()) for fold in range(3)])
+    return _points(spark, scored)
+
+
+def _points(spark, scored):
+    best = trees.best_point(scored)
+    rows = [(*p.values(), sum(a) / len(a), i == best) for i, (p, a) in enumerate(scored)]
+    schema = "n_estimators int, max_depth int, min_samples_split int, max_features string, accuracy double, best boolean"
+    return spark.createDataFrame(rows, schema)
 
 
 @query("rf_nested_cv")
 def rf_nested_cv(spark, sf):
-    """The grid search itself is cross-validated: each outer fold tunes on the other folds."""
-    df = kfold_assign(classification_frame(spark, sf, 2), 2, seed=7).withColumnRenamed("fold", "outer")
-    vectors = cut(models.with_vector(kfold_assign(df, 2), TOP))
-    forest = RandomForestClassifier(labelCol="label", numTrees=5, seed=5805)
-    points = models.param_points(forest, maxDepth=[3, 5])
-    scores = ensembles.fold_scores(
-        lambda part: models.grid_search(forest, points, part, 2)[0], vectors, 2, "Random Forest", fold="outer"
-    )
+    """The grid search itself is cross-validated: each outer fold tunes on inner folds of the others.
+
+    Folds are numbered 3 * outer + inner. All inner and outer forests grow together.
+    """
+    outer = [tuple(3 * o + i for i in range(3)) for o in range(3)]
+    inner = [[(tuple(3 * p + i for p in range(3) if p != o), outer[o]) for i in range(3)] for o in range(3)]
+    pairs = [pair for part in inner for pair in part] + [(folds, ()) for folds in outer]
+    scored = trees.forest_grid(_binned(spark, sf, folds=9), pairs)
+    rows = []
+    for o in range(3):
+        best = trees.best_point([(p, a[3 * o : 3 * o + 3]) for p, a in scored])
+        rows.append(("Random Forest", o, scored[best][1][9 + o]))
+    scores = spark.createDataFrame(rows, "model string, outer int, accuracy double")
     return metrics.kfold_summary(scores, fold="outer")
 
 
@@ -421,9 +462,16 @@ def linreg_total(spark, sf):
 
 @query("rf_total")
 def rf_total(spark, sf):
-    train, test = _amount_frame(spark, sf)
-    model = RandomForestRegressor(numTrees=10, featureSubsetStrategy="all", seed=42).fit(train)
-    return metrics.regression_metrics(model.transform(test))
+    """100 trees for the amount on codes of brand and customer, quantity and price."""
+    df = transactions(spark, sf, "row_key", "customer_id", "product_id", "quantity", "price", "total_amount")
+    df = train_test_split(encode.label_encode(df, ["product_id"]), 0.2)
+    inputs = ("customer_id", "product_id_code", "quantity", "price")
+    fold = F.when(F.col("split") == "test", forest.TEST).otherwise(0)
+    data = forest.binned(df, inputs, _amount_channels("total_amount"), fold)
+    grown = forest.grow(data, _forest_specs(100, None, seed=42, criterion="variance"))
+    labelled = df.where("split = 'test'").withColumnRenamed("total_amount", "label")
+    predicted = trees.predict_all(grown, labelled, ["row_key", "label"], regression=True)
+    return metrics.regression_metrics(predicted)
 
 
 CALENDAR = ("year", "month", "day_of_month", "day_of_week")
@@ -440,8 +488,8 @@ def revenue_forecast(spark, sf):
         F.dayofmonth("day").alias("day_of_month"),
         F.weekday("day").alias("day_of_week"),
     )
-    forest = RandomForestRegressor(numTrees=20, featureSubsetStrategy="all", seed=42)
-    model = forest.fit(models.with_vector(daily, CALENDAR))
+    regressor = RandomForestRegressor(numTrees=100, featureSubsetStrategy="all", seed=42)
+    model = regressor.fit(models.with_vector(daily, CALENDAR))
     ahead = sales.future_calendar(transactions(spark, sf, "transaction_date"))
     scored = model.transform(models.with_vector(ahead, CALENDAR))
     return scored.select(
@@ -467,8 +515,7 @@ def model_comparison(spark, sf):
 @query("cross_validation")
 def cross_validation(spark, sf):
     """Fold accuracies of two families with their maximum, minimum and mean."""
-    df = classification_frame(spark, sf, 3)
-    vectors = cut(models.with_vector(df, TOP).select("row_key", "label", "features", "fold"))
+    vectors = _vectors(spark, sf)[0].drop("split")
     logistic = LogisticRegression(labelCol="label", maxIter=10)
     tree = DecisionTreeClassifier(labelCol="label", maxDepth=5)
     scores = ensembles.fold_scores(logistic.fit, vectors, 3, "Logistic Regression").unionByName(
