@@ -17,7 +17,7 @@ cost-complexity pruning of a tree is scored without growing it again.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -66,10 +66,12 @@ class Spec:
     held_out: int | tuple[int, ...] = TEST
     left_out: tuple[int, ...] = ()
     bootstrap: float = 0.0
+    #: For boosting: (fit, class) whose gradients the tree is grown on.
+    target: tuple[int, int] | None = None
 
     def rows(self) -> tuple:
-        """Trees with the same value learn from the same rows with the same weights."""
-        return (self.held_out, self.left_out, self.bootstrap, self.seed if self.bootstrap else 0)
+        """Trees with the same value learn the same from the same rows with the same weights."""
+        return (self.held_out, self.left_out, self.bootstrap, self.seed if self.bootstrap else 0, self.target)
 
 
 @dataclass
@@ -80,6 +82,11 @@ class Binned:
     features: list[str]
     edges: list[np.ndarray]
     channels: int
+    #: Turns a block's row into the channels that trees grow on; None: its stats.
+    gradients: Callable[[Block, Spec], np.ndarray] | None = None
+
+    def stats_of(self, block: Block, spec: Spec) -> np.ndarray:
+        return block.stats if self.gradients is None else self.gradients(block, spec)
 
 
 def bin_edges(df: DataFrame, features: Sequence[str], max_bins: int = 64) -> list[np.ndarray]:
@@ -164,6 +171,9 @@ class Block:
     stats: np.ndarray
     fold: np.ndarray
     hash: np.ndarray
+    #: For boosting: scores (fits x classes x rows), and what is worked out from them.
+    margins: np.ndarray | None = None
+    worked: dict = field(default_factory=dict)
 
     def held(self, spec: Spec) -> np.ndarray:
         return np.isin(self.fold, spec.held_out)
@@ -178,16 +188,19 @@ class Block:
         return np.where(learned, drawn, 0).astype(np.float64)
 
 
-def blocks_of(batches: Iterator[pa.RecordBatch], channels: int) -> Iterator[Block]:
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     for batch in batches:
         for row in batch.to_pylist():
             n = row["n"]
-            yield Block(
+            block = Block(
                 np.frombuffer(row["bins"], np.uint8).reshape(-1, n),
-                np.frombuffer(row["stats"]).reshape(n, channels),
+                np.frombuffer(row["stats"]).reshape(n, -1),
                 np.frombuffer(row["fold"], np.int16),
                 np.frombuffer(row["hash"], np.uint64),
             )
+            if "margins" in row:
+                block.margins = np.frombuffer(row["margins"], np.float32)
+            yield block
 
 
 # choosing splits
@@ -496,6 +509,7 @@ def _level(data: Binned, tops: list[_Top], wanted: list[tuple[int, int]]) -> dic
     size = features * width * channels
     walks = _walks(tops, owned)
     at_once = max(1, HISTOGRAM_CELLS // size)
+    data_stats = Binned(None, [], [], channels, data.gradients).stats_of
     members = [[(t, n, tops[t].spec, tops[t].path[n]) for t, n in m] for m in cells]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -508,7 +522,7 @@ def _level(data: Binned, tops: list[_Top], wanted: list[tuple[int, int]]) -> dic
             )
             held.clear()
 
-        for block in blocks_of(batches, channels):
+        for block in blocks_of(batches):
             weights: dict[tuple, np.ndarray] = {}
             for spec, walker, cell_of in walks:
                 w = weights.get(spec.rows())
@@ -519,6 +533,7 @@ def _level(data: Binned, tops: list[_Top], wanted: list[tuple[int, int]]) -> dic
                 rows, cell = rows[cell >= 0], cell[cell >= 0]
                 if not len(rows):
                     continue
+                stats = data_stats(block, spec)
                 used, index = np.unique(cell, return_inverse=True)
                 for low in range(0, len(used), at_once):
                     part = (index >= low) & (index < low + at_once)
@@ -529,7 +544,7 @@ def _level(data: Binned, tops: list[_Top], wanted: list[tuple[int, int]]) -> dic
                         place = i * width + block.bins[f, mine]
                         for c in range(channels):
                             counts[:, f, :, c] = np.bincount(
-                                place, block.stats[mine, c] * w[mine], n * width
+                                place, stats[mine, c] * w[mine], n * width
                             ).reshape(n, width)
                     for k, one in zip(used[low : low + n].tolist(), counts):
                         if k in held:
@@ -588,25 +603,23 @@ class Forest:
         return rows
 
 
-def grow(data: Binned, specs: Sequence[Spec], local_rows: int = LOCAL_ROWS) -> Forest:
-    """Grow all trees; the table of their parts is written to the shared folder."""
-    spark = data.blocks.sparkSession
+def _grow_tops(data: Binned, specs: Sequence[Spec], local_rows: int) -> tuple[list[_Top], list[tuple[int, int]]]:
+    """The trees down to nodes of few rows, and those nodes, all trees a level at a time."""
     tops = [_Top(s) for s in specs]
     waiting = [(t, 0) for t in range(len(tops))]
     small: list[tuple[int, int]] = []
     started = False
     while waiting:
-        found = _level(data, tops, waiting)
         opened = []
-        for (tree, node), (feature, b, left, total) in found.items():
+        for (tree, node), (feature, b, left, total) in _level(data, tops, waiting).items():
             top = tops[tree]
             if not started:
                 top.stats[node] = total
+                if not may_split(total[None], np.array([0]), top.spec)[0]:
+                    continue
                 if weight_of(total[None], top.spec.criterion)[0] <= local_rows:
                     small.append((tree, node))
                     continue
-                if not may_split(total[None], np.array([0]), top.spec)[0]:
-                    continue
             if feature >= 0:
                 opened += [(tree, child) for child in top.split(node, feature, b, left)]
         if not started:
@@ -622,6 +635,13 @@ def grow(data: Binned, specs: Sequence[Spec], local_rows: int = LOCAL_ROWS) -> F
             if may_split(total, np.array([top.depth[node]]), top.spec)[0]:
                 w = weight_of(total, top.spec.criterion)[0]
                 (small if w <= local_rows else waiting).append((tree, node))
+    return tops, small
+
+
+def grow(data: Binned, specs: Sequence[Spec], local_rows: int = LOCAL_ROWS) -> Forest:
+    """Grow all trees; the table of their parts is written to the shared folder."""
+    spark = data.blocks.sparkSession
+    tops, small = _grow_tops(data, specs, local_rows)
     forest = Forest(data, tops, None)
     grown, held = _finish(data, tops, small)
     whole = [(*r[:2], *[x.tolist() for x in r[2:]]) for r in forest.top_rows(held)]
@@ -630,6 +650,17 @@ def grow(data: Binned, specs: Sequence[Spec], local_rows: int = LOCAL_ROWS) -> F
     return forest
 
 
+def grow_shallow(data: Binned, specs: Sequence[Spec]) -> list[Nodes]:
+    """Trees of a small depth, by levels alone; their nodes are no more than the depth allows."""
+    out = []
+    for top in _grow_tops(data, specs, 0)[0]:
+        tree = top.walker()
+        tree.stats = np.array(top.stats)
+        tree.held = np.zeros_like(tree.stats)
+        out.append(tree)
+    return out
+
+
 def _finish(data: Binned, tops: list[_Top], small: list[tuple[int, int]]):
     """Subtrees of the small nodes, and what the other leaves of the tops hold of rows not learned from."""
     cells, owned = _cells(tops, small)
@@ -638,12 +669,13 @@ def _finish(data: Binned, tops: list[_Top], small: list[tuple[int, int]]):
         owned.setdefault(tree, {})
     walks = [(tree, *w) for tree, w in zip(owned, _walks(tops, owned))]
     features = len(data.features)
+    data_stats = Binned(None, [], [], channels, data.gradients).stats_of
     members = [[(t, n, tops[t].spec, tops[t].depth[n], tops[t].path[n]) for t, n in m] for m in cells]
     schema = "cell int, tree int, node int, bins binary, stats binary, learned binary"
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tallies: dict[tuple[int, int], np.ndarray] = {}
-        for block in blocks_of(batches, channels):
+        for block in blocks_of(batches):
             weights: dict[tuple, np.ndarray] = {}
             out = []
             for tree, spec, walker, cell_of in walks:
@@ -656,7 +688,7 @@ def _finish(data: Binned, tops: list[_Top], small: list[tuple[int, int]]):
                 cell = cell_of[leaf]
                 tally = apart[rows] & (cell < 0)
                 for node in np.unique(leaf[tally]).tolist():
-                    sums = block.stats[rows[tally & (leaf == node)]].sum(0)
+                    sums = data_stats(block, spec)[rows[tally & (leaf == node)]].sum(0)
                     tallies[tree, node] = tallies.get((tree, node), 0.0) + sums
                 rows, cell = rows[cell >= 0], cell[cell >= 0]
                 order = np.argsort(cell, kind="stable")
@@ -664,7 +696,7 @@ def _finish(data: Binned, tops: list[_Top], small: list[tuple[int, int]]):
                 starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else []
                 for part in np.split(rows, starts[1:]) if len(cell) else []:
                     learned = w[part] > 0
-                    s = block.stats[part] * np.where(learned, w[part], 1.0)[:, None]
+                    s = data_stats(block, spec)[part] * np.where(learned, w[part], 1.0)[:, None]
                     at = cell_of[walker.leaf_of(block.bins[:, part[:1]])][0]
                     out.append(
                         (int(at), -1, -1, block.bins[:, part].tobytes(), s.tobytes(), learned.tobytes())

@@ -171,21 +171,26 @@ def _area(counts: DataFrame, pos: int, neg: int) -> DataFrame:
 
 
 def pr_curve(predictions: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """Precision, recall and F1 when scores at or above each threshold are predicted positive."""
+    """Precision, recall and F1 when scores at or above each threshold are predicted positive.
+
+    The last point, precision 1 and recall 0, has no threshold: nothing is predicted positive.
+    """
     counts, pos, _ = score_counts(predictions, label, score)
     tp, fp = F.col("tp").cast("double"), F.col("fp").cast("double")
-    return counts.select(
+    points = counts.select(
         "threshold",
         ratio(tp, tp + fp).alias("precision"),
         ratio(tp, F.lit(float(pos))).alias("recall"),
         ratio(2 * tp, tp + fp + F.lit(float(pos))).alias("f1"),
     )
+    end = predictions.sparkSession.createDataFrame([(None, 1.0, 0.0, 0.0)], "threshold double, precision double, recall double, f1 double")
+    return points.unionByName(end)
 
 
 def best_f1_threshold(predictions: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Threshold with the highest F1; the lowest such threshold wins ties."""
     best = F.struct("f1", -F.col("threshold"))
-    return pr_curve(predictions, label, score).agg(
+    return pr_curve(predictions, label, score).where("threshold is not null").agg(
         F.max_by("threshold", best).alias("threshold"), F.max("f1").alias("f1")
     )
 

@@ -243,7 +243,8 @@ PR = POINTS + """
     + SCORED
     + PR
     + """ select threshold, round(precision, 9) as precision, round(recall, 9) as recall,
-                 round(f1, 9) as f1 from pr""",
+                 round(f1, 9) as f1 from pr
+          union all select null, 1.0, 0.0, 0.0""",
 )
 def pr_curve(spark, sf):
     out = metrics.pr_curve(_predictions(spark, sf))

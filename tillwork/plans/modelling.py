@@ -10,9 +10,7 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
-    MultilayerPerceptronClassifier,
     NaiveBayes,
-    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import Binarizer
@@ -20,8 +18,8 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from tillwork.functions.columns import date_parts, holiday_flag, weekend_flag
-from tillwork.operators import bayes, encode, ensembles, forest, metrics, models, outliers, sales, trees
-from tillwork.operators.split import kfold_assign, stratified_parts, train_test_split
+from tillwork.operators import bayes, boosting, encode, ensembles, forest, metrics, models, outliers, perceptron, resample, sales, trees
+from tillwork.operators.split import kfold_assign, stratified_kfold, stratified_parts, train_test_split
 from tillwork.plans.registry import hash32_sql, query
 from tillwork.session import cut
 from tillwork.sources import transactions
@@ -339,10 +337,11 @@ def rf_nested_cv(spark, sf):
 
 @query("gbt_binary")
 def gbt_binary(spark, sf):
-    train, test = _vectors(spark, sf)
-    with models.persisted(train) as kept:
-        model = GBTClassifier(labelCol="label", maxIter=10, stepSize=0.1, maxDepth=3, seed=5805).fit(kept)
-    return _report("Gradient Boosting", models.predictions(model, test), spark)
+    """50 rounds of depth 3 at rate 0.1, scored on the test rows."""
+    data = _binned(spark, sf)
+    model, _ = boosting.boost(data, [boosting.Fit(0.1, 3, 2)], 50)
+    _, test = _split(classification_frame(spark, sf))
+    return _report("Gradient Boosting", boosting.predict(test, model, data, ["row_key", "label"]), spark)
 
 
 NUMERIC = (
@@ -351,8 +350,9 @@ NUMERIC = (
 )
 
 
-def multiclass_frame(spark, sf):
-    """Category target: codes of three text columns, eleven scaled numbers and their products."""
+def multiclass_columns(spark, sf, folds=5):
+    """(row_key, product_category, label, fold, inputs) and the names of the inputs: codes of three text
+    columns, eleven numbers scaled on the training rows, and their products. Test rows have fold -1."""
     df = transactions(
         spark, sf, "row_key", "product_id", "payment_method", "store_location", "product_category",
         *TOP, "total_amount", "transaction_date",
@@ -365,21 +365,40 @@ def multiclass_frame(spark, sf):
         }
     )
     coded = ("product_id", "payment_method", "store_location", "product_category")
-    df = train_test_split(encode.label_encode(df, coded), 0.2)
+    df = kfold_assign(train_test_split(encode.label_encode(df, coded), 0.2), folds, seed=7)
+    df = df.withColumn("fold", F.when(F.col("split") == "test", forest.TEST).otherwise(F.col("fold")))
     fitted = encode.ranges(df.where("split = 'train'"), NUMERIC)
     df = encode.interaction_features(encode.minmax_scale(df, NUMERIC, fitted), NUMERIC)
     products = [c for c in df.columns if "_x_" in c]
     inputs = [f"{c}_code" for c in coded[:-1]] + list(NUMERIC) + products
+    label = F.col("product_category_code").alias("label")
+    return cut(df.select("row_key", "split", "product_category", label, "fold", *inputs)), inputs
+
+
+def multiclass_frame(spark, sf):
+    """Category target, with the inputs as a vector."""
+    df, inputs = multiclass_columns(spark, sf)
     vectors = models.with_vector(df, inputs)
-    return cut(
-        vectors.select(
-            "row_key",
-            "split",
-            "product_category",
-            F.col("product_category_code").alias("label"),
-            "features",
-        )
-    )
+    return vectors.select("row_key", "split", "product_category", "label", "features")
+
+
+def _multiclass_binned(df, inputs):
+    classes = df.agg(F.max("label")).first()[0] + 1
+    return forest.binned(df, inputs, forest.class_channels("label", classes), F.col("fold"))
+
+
+#: The grid of the category tree: 960 points on 5 folds.
+MULTICLASS_GRID = {
+    "criteria": ("gini", "entropy"), "splitters": ("best", "random"), "depths": (10, 20, 30, 40, 50),
+    "splits": (2, 5, 10, 15), "features": (None, "sqrt", "log2"), "alphas": (0.0, 0.01, 0.05, 0.1),
+}
+
+
+@query("multiclass_tree_grid")
+def multiclass_tree_grid(spark, sf):
+    """Accuracy of all points of the category tree's grid."""
+    data = _multiclass_binned(*multiclass_columns(spark, sf))
+    return trees.tree_grid(data, 5, **MULTICLASS_GRID, local_rows=10_000, seed=42)[0]
 
 
 @query("multiclass_tree_report")
@@ -394,25 +413,37 @@ def multiclass_tree_report(spark, sf):
     return metrics.classification_report(named, "product_category", "prediction")
 
 
+#: Learning rates and depths of the category boosting; fewer than the whole grid, see the README.
+RATES, DEPTHS, ROUNDS, BOOST_FOLDS = (0.01, 0.1, 0.2), (3,), (5, 10), 2
+
+
 @query("gbt_multiclass")
 def gbt_multiclass(spark, sf):
-    train, test = _split(multiclass_frame(spark, sf).drop("product_category"))
-    with models.persisted(train) as kept:
-        booster = GBTClassifier(maxIter=2, maxDepth=2, seed=42)
-        model = OneVsRest(classifier=booster, labelCol="label", parallelism=4).fit(kept)
-    return metrics.classification_report(model.transform(test).withColumn("label", F.col("label").cast("double")))
+    """Loss and accuracy of softmax boosting of the category over rates, depths and rounds."""
+    data = _multiclass_binned(*multiclass_columns(spark, sf, BOOST_FOLDS))
+    points = [(rate, depth) for rate in RATES for depth in DEPTHS]
+    fits = [boosting.Fit(rate, depth, 2, fold) for rate, depth in points for fold in range(BOOST_FOLDS)]
+    _, scores = boosting.boost(data, fits, max(ROUNDS), score_at=ROUNDS)
+    named = [(i, *points[i // BOOST_FOLDS]) for i in range(len(fits))]
+    listed = spark.createDataFrame(named, "fit int, learning_rate double, max_depth int")
+    return scores.join(listed, "fit").groupBy("learning_rate", "max_depth", F.col("rounds").alias("n_estimators")).agg(
+        *[F.avg(c).alias(c) for c in ("train_loss", "held_loss", "accuracy")]
+    )
 
 
 @query("mlp_grid")
 def mlp_grid(spark, sf):
-    train, test = _vectors(spark, sf, scale=True)
-    net = MultilayerPerceptronClassifier(labelCol="label", maxIter=8, seed=42, layers=[3, 8, 2])
-    points = [{net.getParam("layers"): [3, h, 2]} for h in (4, 8)]
-    best, _ = models.grid_search(net, points, train, 3)
-    predicted = models.predictions(best, test)
+    """Rebalance, scale, search 50 and 100 units over stratified folds, choose a threshold, report."""
+    train, test = _split(classification_frame(spark, sf))
+    balanced = cut(resample.smote(train, TOP, "label"))
+    fitted = encode.moments(balanced, TOP)
+    scaled = encode.standardize(stratified_kfold(balanced, "label", 3, seed=5805), TOP, fitted)
+    best, _ = perceptron.grid(perceptron.blocked(scaled, TOP, "label", "fold", "row_key"), len(TOP), 3)
+    keep = ["row_key", "label"]
     # The threshold is chosen on the training rows, then reported once on the test rows.
-    best_cut = metrics.best_f1_threshold(models.predictions(best, train)).first()["threshold"]
-    return _report("Neural Network", metrics.apply_threshold(predicted, best_cut), spark)
+    chosen = metrics.best_f1_threshold(perceptron.predict(encode.standardize(train, TOP, fitted), best, TOP, keep))
+    predicted = perceptron.predict(encode.standardize(test, TOP, fitted), best, TOP, keep)
+    return _report("Neural Network", metrics.apply_threshold(predicted, chosen.first()["threshold"]), spark)
 
 
 def _forest(**options):
