@@ -229,3 +229,11 @@ def test_regression_trees_and_empty_folds(spark):
     # A tree with nothing to learn from is one leaf.
     _, (empty,) = grown(data, [Spec("variance", held_out=0)])
     assert len(empty) == 1 and empty.stats[0].tolist() == [0, 0]
+
+
+def test_bags_are_drawn_before_the_trees(data):
+    specs = [Spec(bag=(0.8, 1), max_depth=2), Spec(bag=(0.8, 1), bootstrap=1.0, seed=4, max_depth=2), Spec(bag=(0.8, 2), max_depth=2)]
+    _, members = grown(data, specs)
+    n = (rows()[2] != TEST).sum()
+    sizes = [t.stats[0].sum() for t in members]
+    assert all(0.7 * n < s < 0.9 * n for s in sizes) and len(set(sizes)) == 3

@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwork.session import cut
+
 
 @dataclass
 class Moments:
@@ -69,6 +71,17 @@ class GaussianNB:
             out[label] = terms + F.lit(constant)
         return out
 
+    def parameters(self) -> dict:
+        """Per class [constant, mean, factor, mean, factor, ...] of its log density."""
+        extra = self._smoothing()
+        n = sum(m.n for m in self.classes.values())
+        out = {}
+        for label, m in self.classes.items():
+            variances = [v + extra for v in m.var]
+            constant = math.log(m.n / n) - 0.5 * sum(math.log(2 * math.pi * v) for v in variances)
+            out[label] = [constant, *[x for mean, v in zip(m.mean, variances) for x in (mean, 1 / (2 * v))]]
+        return out
+
     def prediction(self) -> Column:
         """The most likely class; the smaller label wins ties."""
         joint = self.log_joint()
@@ -109,20 +122,43 @@ def gaussian_nb_grid(
 
     The model for a fold is put together from the moments of the other folds.
     """
+    # Read twice: for the moments and for the scores.
+    df = cut(df.select(*features, label, fold).na.drop(subset=[*features, label]))
     found = class_moments(df, features, [fold, label])
     folds = sorted({f for f, _ in found})
+    labels = sorted({y for _, y in found})
+    # Per fold, smoothing and class: a constant, and the mean and the factor of each feature. A row
+    # looks up those of its fold, so the densities of one fold only are worked out.
+    table: dict = {}
+    for f in folds:
+        classes: dict = {}
+        for (other, y), m in found.items():
+            if other != f:
+                classes[y] = classes[y].merged(m) if y in classes else m
+        for i, smoothing in enumerate(smoothings):
+            table[f, i] = GaussianNB(list(features), classes, smoothing).parameters() if classes else {}
+    at = F.array_position(F.array(*[F.lit(f) for f in folds]), F.col(fold)).cast("int") - 1
+    never = [float("-inf")] + [0.0] * (2 * len(features))
+
+    def looked_up(values: Sequence[float]) -> Column:
+        return F.array(*[F.lit(float(v)) for v in values])[at]
+
     hits = []
-    for i, smoothing in enumerate(smoothings):
+    for i in range(len(smoothings)):
+        joint = {}
+        for y in labels:
+            rows = [table[f, i].get(y, never) for f in folds]
+            total = looked_up([r[0] for r in rows])
+            for j, c in enumerate(features):
+                gap = F.col(c) - looked_up([r[1 + 2 * j] for r in rows])
+                total = total - gap * gap * looked_up([r[2 + 2 * j] for r in rows])
+            joint[y] = total
+        best = F.greatest(*joint.values()) if len(joint) > 1 else next(iter(joint.values()))
         predicted = F.lit(None)
-        for f in folds:
-            classes: dict = {}
-            for (other, y), m in found.items():
-                if other != f:
-                    classes[y] = classes[y].merged(m) if y in classes else m
-            model = GaussianNB(list(features), classes, smoothing)
-            predicted = F.when(F.col(fold) == F.lit(f), model.prediction()).otherwise(predicted)
+        for y in reversed(labels):
+            predicted = F.when(joint[y] == best, F.lit(y)).otherwise(predicted)
         hits.append(F.avg((predicted == F.col(label)).cast("double")).alias(f"a{i}"))
-    per_fold = df.na.drop(subset=[*features, label]).groupBy(fold).agg(*hits)
+    per_fold = df.groupBy(fold).agg(*hits)
     averaged = per_fold.agg(*[F.avg(f"a{i}").alias(f"a{i}") for i in range(len(smoothings))])
     rows = [
         F.struct(F.lit(float(s)).alias("var_smoothing"), F.col(f"a{i}").alias("accuracy"))

@@ -53,7 +53,8 @@ class Spec:
 
     ``held_out``: the folds it does not learn from, whose rows are counted at its leaves; TEST for
     the rows that no tree learns from. ``left_out``: folds it does not see at all. ``bootstrap``:
-    mean number of times a row is drawn, 0 for every row once. ``max_features`` None: all.
+    mean number of times a row is drawn, 0 for every row once; ``bag`` (mean, seed): a draw before it
+    that several trees have in common. ``max_features`` None: all.
     """
 
     criterion: str = "gini"
@@ -66,12 +67,13 @@ class Spec:
     held_out: int | tuple[int, ...] = TEST
     left_out: tuple[int, ...] = ()
     bootstrap: float = 0.0
+    bag: tuple[float, int] | None = None
     #: For boosting: (fit, class) whose gradients the tree is grown on.
     target: tuple[int, int] | None = None
 
     def rows(self) -> tuple:
         """Trees with the same value learn the same from the same rows with the same weights."""
-        return (self.held_out, self.left_out, self.bootstrap, self.seed if self.bootstrap else 0, self.target)
+        return (self.held_out, self.left_out, self.bootstrap, self.seed if self.bootstrap else 0, self.bag, self.target)
 
 
 @dataclass
@@ -181,11 +183,15 @@ class Block:
     def weights(self, spec: Spec) -> np.ndarray:
         """How often each row counts for the trees of ``spec.rows()``; 0 where it is not learned from."""
         learned = (self.fold != TEST) & ~self.held(spec) & ~np.isin(self.fold, spec.left_out)
-        if not spec.bootstrap:
-            return learned.astype(np.float64)
-        seed = np.uint64((spec.seed * 0x9E3779B97F4A7C15 + 1) & (2**64 - 1))
-        drawn = np.searchsorted(poisson_steps(spec.bootstrap), fraction(self.hash ^ seed), "right")
-        return np.where(learned, drawn, 0).astype(np.float64)
+        out = learned.astype(np.float64)
+        if spec.bag:
+            out *= self._drawn(*spec.bag)
+        return out * self._drawn(spec.bootstrap, spec.seed) if spec.bootstrap else out
+
+    def _drawn(self, rate: float, seed: int) -> np.ndarray:
+        """Poisson counts from the hashes of the rows."""
+        u = fraction(self.hash ^ np.uint64((seed * 0x9E3779B97F4A7C15 + 1) & (2**64 - 1)))
+        return np.searchsorted(poisson_steps(rate), u, "right")
 
 
 def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:

@@ -89,18 +89,6 @@ def param_points(estimator, **values: Sequence) -> list[dict]:
     return points
 
 
-def logistic_points(estimator: LogisticRegression, n: int, cs: Sequence[float]) -> list[dict]:
-    """C x {l1, l2}: the penalty 1/C is divided by the row count, as the loss is a mean."""
-    return [
-        {
-            estimator.getParam("regParam"): 1.0 / (c * n),
-            estimator.getParam("elasticNetParam"): l1,
-        }
-        for c in cs
-        for l1 in (1.0, 0.0)
-    ]
-
-
 def importance_table(model, features: Sequence[str], spark) -> DataFrame:
     """Feature importances, largest first."""
     values = model.featureImportances.toArray()
@@ -114,8 +102,17 @@ def top_features(importances: DataFrame, n: int) -> list[str]:
     return [r["feature"] for r in importances.limit(n).collect()]
 
 
-def svm_points(estimator: LinearSVC, n: int, cs: Sequence[float]) -> list[dict]:
-    return [{estimator.getParam("regParam"): 1.0 / (c * n)} for c in cs]
+def svm_search(
+    estimator: LinearSVC, cs: Sequence[float], train: DataFrame, folds: int, label: str = "label"
+):
+    """(best model, table): strengths 1/C over the rows that a fit sees, in the folds and in the end."""
+    n = train.count()
+    in_folds = n * (folds - 1) / folds
+    points = [{estimator.getParam("regParam"): 1.0 / (c * in_folds)} for c in cs]
+    _, table = grid_search(estimator, points, train, folds, label)
+    best = cs[next(i for i, r in enumerate(table.collect()) if r["best"])]
+    with persisted(train) as kept:
+        return estimator.copy({estimator.getParam("regParam"): 1.0 / (best * n)}).fit(kept), table
 
 
 def calibrated_svm(model, train: DataFrame, test: DataFrame, label: str = "label", key: str = "row_key") -> DataFrame:

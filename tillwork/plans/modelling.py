@@ -18,7 +18,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from tillwork.functions.columns import date_parts, holiday_flag, weekend_flag
-from tillwork.operators import bayes, boosting, encode, ensembles, forest, metrics, models, outliers, perceptron, resample, sales, trees
+from tillwork.operators import bayes, boosting, encode, ensembles, forest, logistic, metrics, models, outliers, perceptron, resample, sales, trees
 from tillwork.operators.split import kfold_assign, stratified_kfold, stratified_parts, train_test_split
 from tillwork.plans.registry import hash32_sql, query
 from tillwork.session import cut
@@ -172,18 +172,22 @@ def pruned_tree(spark, sf):
 
 @query("logistic_grid")
 def logistic_grid(spark, sf):
-    train, _ = _vectors(spark, sf, FEATURES, scale=True)
-    logistic = LogisticRegression(labelCol="label", standardization=False, maxIter=10)
-    points = models.logistic_points(logistic, train.count(), [0.1, 1.0])
-    return models.grid_search(logistic, points, train, 3)[1]
+    """Five strengths, both penalties, five stratified folds, on scaled features."""
+    df = classification_frame(spark, sf, 5)
+    scaled = encode.standardize(df, FEATURES, encode.moments(df.where("split = 'train'"), FEATURES))
+    with models.persisted(logistic.prepared(scaled, FEATURES, "label", "fold")) as rows:
+        _, table = logistic.grid(rows, len(FEATURES), 5)
+    best = max(range(len(table)), key=lambda i: table[i][2])
+    return spark.createDataFrame(
+        [(*t, i == best) for i, t in enumerate(table)], "c double, penalty string, accuracy double, best boolean"
+    )
 
 
 @query("linear_svm")
 def linear_svm(spark, sf):
     train, test = _vectors(spark, sf, scale=True)
-    svm = LinearSVC(labelCol="label", standardization=False, maxIter=8)
-    points = models.svm_points(svm, train.count(), [0.1, 1.0])
-    best, _ = models.grid_search(svm, points, train, 3)
+    svm = LinearSVC(labelCol="label", standardization=False, maxIter=50)
+    best, _ = models.svm_search(svm, (0.1, 1.0), train, 3)
     return _report("Linear SVM", models.calibrated_svm(best, train, test), spark)
 
 
@@ -245,7 +249,7 @@ def gaussian_nb(spark, sf):
     return out.select("row_key", "label", F.round("score", 6).alias("score"), "prediction")
 
 
-SMOOTHINGS = (1e-9, 1e-6, 1e-3)
+SMOOTHINGS = (1e-9, 1e-8, 1e-7, 1e-6, 1e-5, 1e-4, 1e-3)
 
 
 @query(
@@ -255,7 +259,7 @@ SMOOTHINGS = (1e-9, 1e-6, 1e-3)
                     discount_pct, {hash32_sql('row_key', 42)} % 3 as fold
              from tx, m),
     f as (select * from (values (0), (1), (2)) t(held)),
-    g as (select * from (values (cast(1e-9 as double)), (1e-6), (1e-3)) t(smoothing)),
+    g as (select * from (values (cast(1e-9 as double)), (1e-8), (1e-7), (1e-6), (1e-5), (1e-4), (1e-3)) t(smoothing)),
     overall as (select held, greatest(var_pop(quantity), var_pop(price), var_pop(discount_pct)) as vmax,
                        count(*) as n from rows, f where fold <> held group by held),
     stats as (
@@ -452,8 +456,12 @@ def _forest(**options):
 
 @query("bagging")
 def bagging(spark, sf):
-    train, test = _vectors(spark, sf)
-    return _report("Bagging", ensembles.bagging(_forest(), train, test, learners=4), spark)
+    """Ten forests of 100 unbounded trees, each on a bootstrap sample of 80 % of the rows."""
+    data = _binned(spark, sf)
+    m = trees.max_features("sqrt", len(TOP))
+    specs = [s for i in range(10) for s in _forest_specs(100, m, seed=5805 + 104_729 * i, bag=(0.8, i))]
+    _, test = _split(classification_frame(spark, sf))
+    return _report("Bagging", trees.predict_all(forest.grow(data, specs), test, ["row_key", "label"]), spark)
 
 
 @query("stacking")
