@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tillwork.functions.columns import hash32
 from tillwork.operators.ensembles import poisson_steps
-from tillwork.session import cut, stored
+from tillwork.session import cut, over_cores, stored
 
 #: Rows of a block; rows of a node that one task may finish; cells of histograms held by a task.
 BLOCK_ROWS, LOCAL_ROWS, HISTOGRAM_CELLS = 20_000, 50_000, 1 << 22
@@ -158,7 +158,10 @@ def binned(
         fold.cast("int").alias("fold"),
         hash32(key, 0).alias("hash"),
     )
-    return Binned(cut(chosen.mapInArrow(pack, schema)), list(features), edges, len(channels))
+    # Blocks are dealt anew if the rows came in few partitions; they are read many times.
+    blocks = cut(chosen.mapInArrow(pack, schema))
+    dealt = over_cores(blocks)
+    return Binned(blocks if dealt is blocks else cut(dealt), list(features), edges, len(channels))
 
 
 def class_channels(label: str, classes: int, weight: Column | None = None) -> list[Column]:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 #: Rounds of sampling, each followed by an update of the distances to the pool.
 ROUNDS = 3
 #: Rows whose distances to all centres are held at once.
-SLICE = 2_048
+SLICE = 1_024
 
 
 @dataclass
@@ -114,18 +114,21 @@ def _sums(
     edges = np.concatenate([[0], np.cumsum([len(c) for c in centres])]).tolist()
     stacked = np.concatenate(centres)
     names = [f"s{i}" for i in range(len(columns))]
+    # A squared distance less the row's own square, for all centres, is one matrix product.
+    factors = np.vstack([-2.0 * stacked.T, (stacked * stacked).sum(1)])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes, cost = np.zeros(len(stacked)), np.zeros(len(stacked))
         sums = np.zeros((len(columns), len(stacked)))
         for x in _matrices(batches, columns):
-            distances = squared_distances(x, stacked)
+            relative = np.column_stack([x, np.ones(len(x))]) @ factors
+            own, at, turned = (x * x).sum(1), np.arange(len(x)), np.ascontiguousarray(x.T)
             for a, b in zip(edges, edges[1:]):
-                part = distances[:, a:b]
+                part = relative[:, a:b]
                 nearest = part.argmin(1)
-                cost[a:b] += np.bincount(nearest, part[np.arange(len(x)), nearest], b - a)
+                cost[a:b] += np.bincount(nearest, np.maximum(part[at, nearest] + own, 0.0), b - a)
                 sizes[a:b] += np.bincount(nearest, minlength=b - a)
-                for total, column in zip(sums, x.T):
+                for total, column in zip(sums, turned):
                     total[a:b] += np.bincount(nearest, column, b - a)
         used = np.flatnonzero(sizes)
         yield pa.RecordBatch.from_arrays(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tillwork.functions.columns import (
@@ -13,7 +15,9 @@ from tillwork.functions.columns import (
 )
 from tillwork.operators import profile
 from tillwork.plans.registry import query
-from tillwork.sources import events, table, transactions
+from tillwork.session import shared_dir
+from tillwork.sources import events, read_csv_transactions, table, transactions
+from tillwork.sources.transactions import CSV_COLUMNS
 
 
 def _day_text(df, column="transaction_date"):
@@ -49,6 +53,15 @@ def scan_transactions(spark, sf):
     return _scanned(transactions(spark, sf))
 
 
+@query("csv_scan", "with {tx} " + SCAN_SQL.replace("row_key, ", "") + " from tx")
+def csv_scan(spark, sf):
+    """The transactions as headered CSV files in the shared folder, scanned with the declared schema."""
+    rows = transactions(spark, sf).withColumn("quantity", F.col("quantity").cast("int"))
+    target = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    rows.select([F.col(new).alias(old) for old, new in CSV_COLUMNS.items()]).write.option("header", True).csv(target)
+    return _scanned(read_csv_transactions(spark, target).withColumn("row_key", F.lit(""))).drop("row_key")
+
+
 @query("head_rows", "with {tx} " + SCAN_SQL + " from tx order by row_key, price limit 5")
 def head_rows(spark, sf):
     return profile.head_rows(_scanned(transactions(spark, sf)), 5, ("row_key", "price"))

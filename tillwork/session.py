@@ -60,3 +60,12 @@ def stored(df: DataFrame) -> DataFrame:
     target = f"{shared_dir(spark)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+def over_cores(df: DataFrame) -> DataFrame:
+    """A materialised ``df`` in at least as many partitions as the cluster runs tasks at once.
+
+    Joins of little data end in few partitions; heavy passes over them would leave cores idle.
+    """
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
