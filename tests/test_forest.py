@@ -237,3 +237,18 @@ def test_bags_are_drawn_before_the_trees(data):
     n = (rows()[2] != TEST).sum()
     sizes = [t.stats[0].sum() for t in members]
     assert all(0.7 * n < s < 0.9 * n for s in sizes) and len(set(sizes)) == 3
+
+
+def test_few_positions_grow_whole_trees_in_one_pass(table, data, monkeypatch):
+    _, by_levels = grown(data, SPECS, 250)
+    monkeypatch.setattr(forest, "_level", None)
+    _, at_once = grown(data, SPECS)
+    assert [canonical(a) for a in at_once] == [canonical(b) for b in by_levels]
+    # Sums by position: copies of rows, also over blocks that are gathered apart, weigh as many rows.
+    monkeypatch.setattr(forest, "GATHERED_ROWS", 100)
+    copied = table.unionByName(table).unionByName(table)
+    tripled = forest.binned(copied, FEATURES, forest.class_channels("label", 3), F.col("fold"), edges=data.edges)
+    spec = Spec("gini", max_features=2, seed=4)
+    (one,), (three,) = grown(data, [spec])[1], grown(tripled, [spec])[1]
+    assert [x[:2] for x in canonical(one)] == [x[:2] for x in canonical(three)]
+    assert np.array_equal(3 * one.stats, three.stats) and np.array_equal(3 * one.held, three.held)
