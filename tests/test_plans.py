@@ -5,6 +5,7 @@ import io
 
 import pytest
 
+from tillwork.operators import models
 from tillwork.plans import QUERIES
 
 CHEAP = (
@@ -48,3 +49,8 @@ def test_hot_groups_are_limited_before_the_shuffle(spark, small):
     df = spark.read.parquet(f"{small}/part.parquet")
     text = plan(_positions(df, ["p_size"], "p_partkey", None, None, 5))
     assert "WindowGroupLimit" in text
+
+
+def test_kernel_features_are_kept_once(spark, small, monkeypatch):
+    monkeypatch.setattr(models, "persisted", None)
+    assert QUERIES["rbf_svm"](spark, small).count() == 1
