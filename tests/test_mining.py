@@ -236,3 +236,24 @@ def test_many_values_encode_without_a_cap(spark):
 def test_poisson_draws_reach_the_tail():
     steps = ensembles.poisson_steps(30.0)
     assert len(steps) > 60 and steps == sorted(steps) and steps[-1] > 1 - 2.0**-32
+
+
+def test_kmeans_passes_compare_rows_of_undecided_leaves_only(spark):
+    """Leaves whose box belongs to one centre are added whole; sums and costs are those of all rows."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.uniform(-1.0, 1.0, (30_000, 2)), np.zeros((5_000, 2))])
+    rows = spark.createDataFrame([(float(a), float(b)) for a, b in x] + [(None, 1.0)], "x double, y double")
+    kept = kmeans.packed(rows.repartition(4), ["x", "y"]).cache()
+    fits = [rng.uniform(-1.0, 1.0, (k, 2)) for k in (1, 2, 7)] + [np.array([[-0.5, 0.0], [0.5, 0.0], [9.0, 9.0]])]
+    for z, (sizes, sums, cost) in zip(fits, kmeans._sums(kept, ["x", "y"], fits)):
+        d = ((x[:, None, :] - z[None]) ** 2).sum(2)
+        own = d.argmin(1)
+        assert sizes.tolist() == np.bincount(own, minlength=len(z)).tolist()
+        assert np.allclose(sums, [x[own == j].sum(0) for j in range(len(z))])
+        assert np.isclose(cost.sum(), d.min(1).sum())
+    boxes = [kmeans._Leaves(np.frombuffer(r[0]).reshape(2, -1)) for r in kept.collect()]
+    assert len(boxes) >= 4  # copies are dealt over the tasks as well
+    assert sum(int(b.size.sum()) for b in boxes) == len(x)
+    decided = sum(int(b.size[b.owners(fits[3])[1]].sum()) for b in boxes)
+    assert decided > 0.75 * len(x)
+    kept.unpersist()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tillwork.operators import kmeans
 from tillwork.operators.encode import moments, standardize
 from tillwork.operators.models import persisted
-from tillwork.session import cut, over_cores
+from tillwork.session import cut
 
 
 def assemble(df: DataFrame, features: Sequence[str], output: str = "features") -> DataFrame:
@@ -33,7 +33,7 @@ def kmeans_sweep(
     All numbers of clusters and all their restarts advance in the same passes over the rows. The
     silhouette uses squared distances, which needs a few passes instead of all pairs of rows.
     """
-    with persisted(over_cores(cut(standardize(df, features).select(*features)))) as rows:
+    with persisted(kmeans.packed(cut(standardize(df, features).select(*features)), features)) as rows:
         fits = kmeans.best_fits(kmeans.fit_many(rows, features, ks, restarts, max_iter, seed=seed))
         scores = kmeans.silhouettes(rows, features, [fits[k] for k in ks])
     table = [(k, fits[k].cost, score) for k, score in zip(ks, scores)]

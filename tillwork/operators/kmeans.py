@@ -1,11 +1,14 @@
 """Many k-means fits at once: each pass over the rows advances all fits that still move.
 
-All fits of a sweep, every number of clusters with all its restarts, read the same rows. One pass
-assigns a row to a centre of every running fit, by matrix products on Arrow batches, and sends one
-row of sums for each (fit, centre) of a task; these are added up by Spark. Seeding is shared as well:
-each restart draws one pool of candidates by k-means|| (rounds of weighted sampling by squared
-distance, exactly ``2 k`` rows a round), and the fits of that restart start from weighted draws from
-its pool. The driver holds centres, pools and sums, whose sizes depend on k and the restarts alone.
+All fits of a sweep, every number of clusters with all its restarts, read the same rows. These are
+laid out once so that near rows lie together, in leaves of a space tree. One pass gives a whole leaf
+to a centre of a running fit where its bounding box shows that no other centre can be nearest to any
+of its rows (the filtering of Kanungo et al.); the rows of the other leaves are compared one by one.
+A task sends one row of sums for each (fit, centre); these are added up by Spark. Seeding is shared
+as well: each restart draws one pool of candidates by k-means|| (rounds of weighted sampling by
+squared distance, exactly ``2 k`` rows a round), and the fits of that restart start from weighted
+draws from its pool. The driver holds centres, pools and sums, whose sizes depend on k and the
+restarts alone.
 """
 
 from __future__ import annotations
@@ -18,10 +21,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwork.operators.models import persisted
+
 #: Rounds of sampling, each followed by an update of the distances to the pool.
 ROUNDS = 3
 #: Rows whose distances to all centres are held at once.
 SLICE = 1_024
+#: Rows of a leaf, and values of one packed chunk of leaves.
+LEAF, VALUES = 64, 200_000
+#: Bits of a column, and of all columns, in the order in which rows are laid out.
+COLUMN_BITS, ORDER_BITS = 10, 60
+POINTS = "__points"
 
 
 @dataclass
@@ -37,12 +47,122 @@ class Fit:
     moving: bool = True
 
 
-def _matrices(batches: Iterator[pa.RecordBatch], columns: Sequence[str]) -> Iterator[np.ndarray]:
-    """The rows as matrices of at most ``SLICE`` rows, so that distances to all centres stay small."""
+def packed(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows without nulls as chunks of leaves: one column of binaries, each a matrix of doubles
+    with a row per column, cut into leaves of ``LEAF`` rows (the last may hold fewer).
+
+    Rows are dealt over the partitions by ranges of an interleaved grid code; rows of one code are
+    dealt by number, so copies never gather in one task.
+    """
+    if rows.columns == [POINTS]:
+        return rows
+    rows = rows.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
+    found = rows.agg(
+        *[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("m", F.avg), ("s", F.stddev_pop))]
+    ).first()
+    coded = list(columns)[:ORDER_BITS]
+    bits = min(COLUMN_BITS, ORDER_BITS // len(coded))
+    code = F.lit(0).cast("long")
+    places = []
+    for c in coded:
+        mean, std = found[f"m_{c}"] or 0.0, found[f"s_{c}"] or 0.0
+        # Three deviations to each side; what lies beyond is put into the outer cells.
+        share = (F.col(c) - F.lit(mean)) / F.lit(6.0 * std if std else 1.0) + F.lit(0.5)
+        places.append(F.floor(F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)) * F.lit(2.0**bits - 1.0)))
+    for bit in reversed(range(bits)):
+        for place in places:
+            code = F.shiftleft(code, 1).bitwiseOR(F.shiftright(place, bit).bitwiseAND(F.lit(1).cast("long")))
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())
+    dealt = rows.withColumns({"__code": code, "__id": F.monotonically_increasing_id()})
+    dealt = dealt.repartitionByRange(tasks, "__code", "__id").sortWithinPartitions("__code", "__id")
+    size = max(VALUES // len(columns) // LEAF, 1) * LEAF
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            x = np.stack([np.asarray(batch.column(c), dtype=np.float64) for c in columns])
+            held.append(x)
+            count += x.shape[1]
+            while count >= size:
+                x = np.concatenate(held, axis=1)
+                yield _chunk(x[:, :size])
+                held, count = [x[:, size:]], count - size
+        if count:
+            yield _chunk(np.concatenate(held, axis=1))
+
+    return dealt.select(*columns).mapInArrow(pack, f"{POINTS} binary")
+
+
+def _chunk(x: np.ndarray) -> pa.RecordBatch:
+    """The points, one a column of ``x``, in the order of their leaves: halved along the widest side."""
+    order = np.arange(x.shape[1])
+    todo = [(0, x.shape[1])]
+    while todo:
+        a, b = todo.pop()
+        if b - a <= LEAF:
+            continue
+        mine = x[:, order[a:b]]
+        width = mine.max(1) - mine.min(1)
+        if not width.max() > 0:
+            continue
+        half = -(-(b - a) // LEAF) // 2 * LEAF
+        order[a:b] = order[a:b][np.argpartition(mine[width.argmax()], half)]
+        todo += [(a, a + half), (a + half, b)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([np.ascontiguousarray(x[:, order]).tobytes()], pa.binary())], names=[POINTS]
+    )
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[np.ndarray]:
+    """The packed matrices, a row per column of the data."""
     for batch in batches:
-        x = np.column_stack([np.asarray(batch.column(c), dtype=np.float64) for c in columns])
-        for low in range(0, len(x), SLICE):
-            yield x[low : low + SLICE]
+        for value in batch.column(0):
+            yield np.frombuffer(value.as_buffer(), np.float64).reshape(width, -1)
+
+
+def _matrices(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[np.ndarray]:
+    """The rows as matrices of at most ``SLICE`` rows, so that distances to all centres stay small."""
+    for points in _chunks(batches, width):
+        for low in range(0, points.shape[1], SLICE):
+            yield np.ascontiguousarray(points[:, low : low + SLICE].T)
+
+
+class _Leaves:
+    """Sizes, sums and bounding boxes of the leaves of a chunk."""
+
+    def __init__(self, points: np.ndarray):
+        starts = np.arange(0, points.shape[1], LEAF)
+        self.size = np.diff(np.append(starts, points.shape[1]))
+        self.low = np.minimum.reduceat(points, starts, axis=1)
+        self.high = np.maximum.reduceat(points, starts, axis=1)
+        self.total = np.add.reduceat(points, starts, axis=1)
+        self.mean = self.total / self.size
+        off = points - np.repeat(self.mean, self.size, axis=1)
+        self.squares = np.add.reduceat((off * off).sum(0), starts)
+        self.middle, self.half = (self.low + self.high) / 2, (self.high - self.low) / 2
+        self.reach = (self.middle * self.middle).sum(0) + (self.half * self.half).sum(0)
+
+    def owners(self, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The centre nearest to the middle of each leaf, and whether it is so for the whole box."""
+        own = (centres * centres).sum(1)
+        relative = own - 2.0 * (self.middle.T @ centres.T)
+        nearest = relative.argmin(1)
+        at = np.arange(len(nearest))
+        # By how much another centre is farther, at the corner of the box that is nearest to it.
+        least = relative - relative[at, nearest][:, None]
+        apart = np.abs(centres[:, None, :] - centres[None, :, :])
+        for i, half in enumerate(self.half):
+            least -= 2.0 * half[:, None] * apart[nearest, :, i]
+        least[at, nearest] = np.inf
+        # What rounding could turn round is left to the rows.
+        return nearest, least.min(1) > 1e-9 * (self.reach + own.max())
+
+    def farthest(self, pool: np.ndarray) -> np.ndarray:
+        """No row of a leaf is farther from the pool than this, in squared distance."""
+        out = np.zeros((len(pool), len(self.size)))
+        for low, high, column in zip(self.low, self.high, pool.T):
+            out += np.maximum(np.abs(column[:, None] - low), np.abs(high - column[:, None])) ** 2
+        return out.min(0)
 
 
 def squared_distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -74,20 +194,32 @@ def _drawn(
 
     def highest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list[dict[bytes, float]] = [{} for _ in pools]
-        for x in _matrices(batches, columns):
+        least = [-np.inf] * len(pools)
+        for points in _chunks(batches, len(columns)):
+            leaves, whole = _Leaves(points), points.T
             for r, pool in enumerate(pools):
-                weight = squared_distances(x, pool).min(1) if len(pool) else np.ones(len(x))
+                drawn = np.log(_uniform(whole, seed + 1_000_003 * r))
+                # A key is at most what the whole leaf's largest weight would make of the draw.
+                far = leaves.farthest(pool) if len(pool) else np.ones(len(leaves.size))
                 with np.errstate(divide="ignore"):
-                    key = np.log(_uniform(x, seed + 1_000_003 * r)) / weight
-                key[weight <= 1e-24] = -np.inf
-                # Equal rows have equal keys and count once.
-                _, first = np.unique(key, return_index=True)
-                for i in first[::-1][: 2 * wanted]:
-                    if key[i] > -np.inf:
-                        best[r][x[i].tobytes()] = float(key[i])
-                if len(best[r]) > 4 * wanted:
-                    top = sorted(best[r].items(), key=lambda e: -e[1])[:wanted]
-                    best[r] = dict(top)
+                    most = drawn / np.repeat(far, leaves.size) * (1 - 1e-9)
+                for low in range(0, len(whole), SLICE):
+                    some = low + np.flatnonzero(most[low : low + SLICE] >= least[r])
+                    if not len(some):
+                        continue
+                    x = whole[some]
+                    weight = squared_distances(x, pool).min(1) if len(pool) else np.ones(len(x))
+                    with np.errstate(divide="ignore"):
+                        key = drawn[some] / weight
+                    key[weight <= 1e-24] = -np.inf
+                    # Equal rows have equal keys and count once.
+                    _, first = np.unique(key, return_index=True)
+                    for i in first[::-1][: 2 * wanted]:
+                        if key[i] > -np.inf:
+                            best[r][x[i].tobytes()] = float(key[i])
+                    if len(best[r]) >= 2 * wanted:
+                        top = sorted(best[r].items(), key=lambda e: -e[1])[:wanted]
+                        best[r], least[r] = dict(top), top[-1][1]
         out = [
             (r, key, *np.frombuffer(row).tolist())
             for r, found in enumerate(best)
@@ -99,7 +231,7 @@ def _drawn(
 
     schema = "restart int, key double, " + ", ".join(f"{n} double" for n in names)
     order = Window.partitionBy("restart").orderBy(F.desc("key"), *names)
-    sent = rows.select(*columns).mapInArrow(highest, schema).distinct()
+    sent = rows.mapInArrow(highest, schema).distinct()
     top = sent.withColumn("place", F.row_number().over(order)).where(F.col("place") <= wanted)
     found: list[list] = [[] for _ in pools]
     for row in top.collect():
@@ -108,28 +240,41 @@ def _drawn(
 
 
 def _sums(
-    rows: DataFrame, columns: Sequence[str], centres: list[np.ndarray]
-) -> list[tuple[np.ndarray, np.ndarray, float]]:
-    """(sizes, sums, cost) of every fit, from one pass."""
+    rows: DataFrame, columns: Sequence[str], centres: list[np.ndarray], about: list[np.ndarray] | None = None
+) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(sizes, sums, costs) of the centres of every fit, from one pass over packed rows.
+
+    The costs are squared distances to the row's centre, or to the point of ``about`` in its place.
+    """
+    about = centres if about is None else about
     edges = np.concatenate([[0], np.cumsum([len(c) for c in centres])]).tolist()
-    stacked = np.concatenate(centres)
-    names = [f"s{i}" for i in range(len(columns))]
-    # A squared distance less the row's own square, for all centres, is one matrix product.
-    factors = np.vstack([-2.0 * stacked.T, (stacked * stacked).sum(1)])
+    count, width = edges[-1], len(columns)
+    names = [f"s{i}" for i in range(width)]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes, cost = np.zeros(len(stacked)), np.zeros(len(stacked))
-        sums = np.zeros((len(columns), len(stacked)))
-        for x in _matrices(batches, columns):
-            relative = np.column_stack([x, np.ones(len(x))]) @ factors
-            own, at, turned = (x * x).sum(1), np.arange(len(x)), np.ascontiguousarray(x.T)
-            for a, b in zip(edges, edges[1:]):
-                part = relative[:, a:b]
-                nearest = part.argmin(1)
-                cost[a:b] += np.bincount(nearest, np.maximum(part[at, nearest] + own, 0.0), b - a)
-                sizes[a:b] += np.bincount(nearest, minlength=b - a)
-                for total, column in zip(sums, turned):
-                    total[a:b] += np.bincount(nearest, column, b - a)
+        sizes, cost, sums = np.zeros(count), np.zeros(count), np.zeros((width, count))
+        for points in _chunks(batches, width):
+            leaves = _Leaves(points)
+            for a, b, fit, targets in zip(edges, edges[1:], centres, about):
+                nearest, alone = leaves.owners(fit)
+                mine = nearest[alone]
+                off = leaves.mean[:, alone] - targets.T[:, mine]
+                squares = leaves.squares[alone] + leaves.size[alone] * (off * off).sum(0)
+                sizes[a:b] += np.bincount(mine, leaves.size[alone], b - a)
+                cost[a:b] += np.bincount(mine, squares, b - a)
+                for total, column in zip(sums, leaves.total):
+                    total[a:b] += np.bincount(mine, column[alone], b - a)
+                rest = points[:, np.repeat(~alone, leaves.size)]
+                # A squared distance less the row's own square, for all centres, is a matrix product.
+                own = (fit * fit).sum(1)[:, None]
+                for low in range(0, rest.shape[1], SLICE):
+                    x = rest[:, low : low + SLICE]
+                    nearest_of = (own - 2.0 * (fit @ x)).argmin(0)
+                    off = x - targets.T[:, nearest_of]
+                    cost[a:b] += np.bincount(nearest_of, (off * off).sum(0), b - a)
+                    sizes[a:b] += np.bincount(nearest_of, minlength=b - a)
+                    for total, column in zip(sums, x):
+                        total[a:b] += np.bincount(nearest_of, column, b - a)
         used = np.flatnonzero(sizes)
         yield pa.RecordBatch.from_arrays(
             [pa.array(used.astype(np.int32)), pa.array(sizes[used]), pa.array(cost[used])]
@@ -138,14 +283,14 @@ def _sums(
         )
 
     schema = "centre int, n double, cost double, " + ", ".join(f"{n} double" for n in names)
-    added = rows.select(*columns).mapInArrow(add, schema).groupBy("centre").agg(
+    added = rows.mapInArrow(add, schema).groupBy("centre").agg(
         *[F.sum(c).alias(c) for c in ("n", "cost", *names)]
     )
-    sizes, sums, cost = np.zeros(len(stacked)), np.zeros((len(stacked), len(columns))), np.zeros(len(stacked))
+    sizes, sums, cost = np.zeros(count), np.zeros((count, width)), np.zeros(count)
     for row in added.collect():  # one row a centre
         i = row["centre"]
         sizes[i], cost[i], sums[i] = row["n"], row["cost"], [row[n] for n in names]
-    return [(sizes[a:b], sums[a:b], float(cost[a:b].sum())) for a, b in zip(edges, edges[1:])]
+    return [(sizes[a:b], sums[a:b], cost[a:b]) for a, b in zip(edges, edges[1:])]
 
 
 def _start(pool: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
@@ -206,12 +351,16 @@ def fit_many(
     """All fits of ``ks`` x ``restarts``; Lloyd steps until the centres of a fit move little.
 
     ``tol`` is relative to the mean variance of the columns, against the sum of squared moves. A
-    centre without rows stays where it is. Rows with nulls are left out. ``rows`` is read once per
-    pass, so callers keep it cached.
+    centre without rows stays where it is. Rows with nulls are left out. ``rows`` may be packed
+    already; then it is read once per pass, so callers keep it cached.
     """
-    rows = rows.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    variance = rows.agg(*[F.var_pop(c).alias(c) for c in columns]).first()
-    limit = tol * float(np.mean([v or 0.0 for v in variance]))
+    if rows.columns != [POINTS]:
+        with persisted(packed(rows, columns)) as kept:
+            return fit_many(kept, columns, ks, restarts, max_iter, tol, seed, on_pass)
+    middle = np.zeros((1, len(columns)))
+    (size, total, _), = _sums(rows, columns, [middle])
+    (_, _, squares), = _sums(rows, columns, [middle], [total / max(size[0], 1.0)])
+    limit = tol * float(squares[0]) / max(size[0], 1.0) / len(columns)
     fits = seeded(rows, columns, ks, restarts, seed)
     while any(f.moving for f in fits):
         running = [f for f in fits if f.moving]
@@ -219,7 +368,7 @@ def fit_many(
             moved = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1.0)[:, None], fit.centres)
             shift = float(((moved - fit.centres) ** 2).sum())
             fit.passes += 1
-            fit.cost, fit.sizes = cost, sizes
+            fit.cost, fit.sizes = float(cost.sum()), sizes
             # The cost and the sizes belong to the centres they were measured with.
             if shift <= limit or fit.passes > max_iter:
                 fit.moving = False
@@ -245,19 +394,19 @@ def silhouettes(rows: DataFrame, columns: Sequence[str], fits: Sequence[Fit]) ->
     The mean squared distance to a cluster follows from its size, its sum and its sum of squares;
     a row's own cluster is taken without the row itself. A row alone in its cluster counts 0.
     """
-    rows = rows.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
+    rows = packed(rows, columns)
     centres = [f.centres for f in fits]
     told = _sums(rows, columns, centres)
     edges = np.concatenate([[0], np.cumsum([len(c) for c in centres])]).tolist()
-    # The sum of squared distances to a mean is the cost about the centre less its shift.
     n = np.concatenate([s for s, _, _ in told])
     means = np.concatenate([t / np.maximum(s, 1.0)[:, None] for s, t, _ in told])
-    spread = _spread(rows, columns, centres, means)
+    parted = [means[a:b] for a, b in zip(edges, edges[1:])]
+    spread = np.concatenate([c for _, _, c in _sums(rows, columns, centres, parted)])
     stacked = np.concatenate(centres)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, count = np.zeros(len(centres)), 0
-        for x in _matrices(batches, columns):
+        for x in _matrices(batches, len(columns)):
             count += len(x)
             nearest_of = squared_distances(x, stacked)
             to_mean = squared_distances(x, means)
@@ -284,25 +433,3 @@ def silhouettes(rows: DataFrame, columns: Sequence[str], fits: Sequence[Fit]) ->
     found = {r["fit"]: r["score"] for r in added.collect()}
     return [float(found[i]) for i in range(len(centres))]
 
-
-def _spread(rows: DataFrame, columns: Sequence[str], centres: list[np.ndarray], means: np.ndarray) -> np.ndarray:
-    """Sum of squared distances of each cluster's rows to its mean."""
-    edges = np.concatenate([[0], np.cumsum([len(c) for c in centres])]).tolist()
-    stacked = np.concatenate(centres)
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(stacked))
-        for x in _matrices(batches, columns):
-            to_centre, to_mean = squared_distances(x, stacked), squared_distances(x, means)
-            for a, b in zip(edges, edges[1:]):
-                own = to_centre[:, a:b].argmin(1)
-                total[a:b] += np.bincount(own, to_mean[np.arange(len(x)), a + own], b - a)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(stacked), dtype=np.int32)), pa.array(total)], names=["centre", "total"]
-        )
-
-    added = rows.mapInArrow(add, "centre int, total double").groupBy("centre").agg(F.sum("total").alias("total"))
-    out = np.zeros(len(stacked))
-    for row in added.collect():
-        out[row["centre"]] = row["total"]
-    return out
