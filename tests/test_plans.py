@@ -5,8 +5,8 @@ import io
 
 import pytest
 
-from tillwork.operators import models
-from tillwork.plans import QUERIES
+from tillwork.operators import encode, models
+from tillwork.plans import QUERIES, modelling
 
 CHEAP = (
     "scan_transactions", "category_sales", "describe_numeric", "null_counts", "duplicate_count",
@@ -54,3 +54,22 @@ def test_hot_groups_are_limited_before_the_shuffle(spark, small):
 def test_kernel_features_are_kept_once(spark, small, monkeypatch):
     monkeypatch.setattr(models, "persisted", None)
     assert QUERIES["rbf_svm"](spark, small).count() == 1
+
+
+def test_few_labels_are_joined_without_a_shuffle(spark, small):
+    df = spark.read.parquet(f"{small}/part.parquet")
+    text = plan(encode.label_encode(df, ["p_brand", "p_type"]))
+    assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
+
+
+def test_joined_rows_are_stored_once_and_without_products(spark, small, monkeypatch):
+    written, joins = [], []
+    store, join = modelling.stored, modelling.transactions
+    monkeypatch.setattr(modelling, "stored", lambda df: written.append(df.columns) or store(df))
+    monkeypatch.setattr(modelling, "transactions", lambda *a: joins.append(a) or join(*a))
+    df, inputs = modelling.multiclass_columns(spark, small)
+    assert len(joins) == 1 and len(inputs) == 14 + 55
+    assert not any("_x_" in c for columns in written for c in columns)
+    assert "Join" not in plan(df)
+    train, _ = modelling._amount_frame(spark, small)
+    assert len(joins) == 2 and "l_orderkey" not in plan(train)
