@@ -110,18 +110,24 @@ def bin_edges(df: DataFrame, features: Sequence[str], max_bins: int = 64) -> lis
     counted = df.agg(*[F.approx_count_distinct(v).alias(f"d{i}") for i, v in enumerate(values)]).first()
     few = [i for i in range(len(features)) if counted[f"d{i}"] <= 2 * max_bins]
     probs = [i / max_bins for i in range(1, max_bins)]
-    row = df.agg(
-        *[F.percentile_approx(v, probs, 10_000).alias(f"q{i}") for i, v in enumerate(values)],
-        *[F.sort_array(F.collect_set(values[i])).alias(f"s{i}") for i in few],
-    ).first()
+
+    def sketched(wanted: Sequence[int]) -> list[Column]:
+        return [F.percentile_approx(values[i], probs, 10_000).alias(f"q{i}") for i in wanted]
+
+    # Sketches cost most: they are left to the features that turn out to need them.
+    many = [i for i in range(len(features)) if i not in few]
+    sets = [F.sort_array(F.collect_set(values[i])).alias(f"s{i}") for i in few]
+    found = df.agg(*sketched(many), *sets).first().asDict() if features else {}
+    more = [i for i in few if len(found[f"s{i}"]) > max_bins]
+    if more:
+        found |= df.agg(*sketched(more)).first().asDict()
     edges = []
     for i in range(len(features)):
-        exact = sorted(row[f"s{i}"]) if i in few else None
-        if exact is not None and len(exact) <= max_bins:
-            x = np.array(exact, np.float64)
+        if i in few and i not in more:
+            x = np.array(sorted(found[f"s{i}"]), np.float64)
             edges.append((x[1:] + x[:-1]) / 2)
         else:
-            edges.append(np.unique(np.array(row[f"q{i}"] or [], np.float64)))
+            edges.append(np.unique(np.array(found[f"q{i}"] or [], np.float64)))
     return edges
 
 
@@ -186,6 +192,8 @@ class Block:
     stats: np.ndarray
     fold: np.ndarray
     hash: np.ndarray
+    #: How many rows of the table each row stands for; None: one.
+    counts: np.ndarray | None = None
     #: For boosting: scores (fits x classes x rows), and what is worked out from them.
     margins: np.ndarray | None = None
     worked: dict = field(default_factory=dict)
@@ -222,6 +230,8 @@ def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
                 np.frombuffer(row["fold"], np.int16),
                 np.frombuffer(row["hash"], np.uint64),
             )
+            if "counts" in row:
+                block.counts = np.frombuffer(row["counts"])
             if "margins" in row:
                 block.margins = np.frombuffer(row["margins"], np.float32)
             yield block
