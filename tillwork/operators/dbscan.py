@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 from tillwork.operators.components import DRIVER_EDGES, connected_components
 from tillwork.operators.neighbors import with_neighbours
 from tillwork.operators.prefix import dense_index
-from tillwork.session import cut
+from tillwork.session import cut, stored
 
 MAX_HALVINGS = 40
+#: Tables of at most so many cells are sent to the rows, which are then not shuffled.
+BROADCAST_CELLS = 100_000
 
 
 def dbscan(
@@ -43,18 +45,22 @@ def dbscan(
         F.col(key).alias("key"),
         *[(F.col(c).cast("double") + F.lit(0.0)).alias(x) for c, x in zip(features, xs)],
     ).na.drop(subset=xs)
-    # The table is read by every step below: its source plan runs once.
-    located = cut(
-        rows.withColumn("cell", F.array(*[F.floor(F.col(x) / F.lit(side)) for x in xs]))
-    )
+    # The table is read by every step below: its source plan runs once. Cells are worked out when read.
+    located = stored(rows).withColumn("cell", F.array(*[F.floor(F.col(x) / F.lit(side)) for x in xs]))
     cells = cut(located.groupBy("cell").agg(F.count("*").alias("n")))
+
+    def sent(some: DataFrame) -> DataFrame:
+        """A table of at most all cells, for a join with rows."""
+        return F.broadcast(some) if few else some
+
+    few = cells.count() <= BROADCAST_CELLS
     thin = cells.where(F.col("n") < min_samples).select("cell")
-    tested = cut(_test_thin_points(located, thin, xs, eps, min_samples))
+    tested = cut(_test_thin_points(located, cells, thin, xs, eps, min_samples, sent))
     core_thin = tested.where("is_core").select("key", *xs, "cell")
     dense = cells.where(F.col("n") >= min_samples).select("cell")
-    core = located.join(dense, "cell", "left_semi").select("key", *xs, "cell").unionByName(core_thin)
+    core = located.join(sent(dense), "cell", "left_semi").select("key", *xs, "cell").unionByName(core_thin)
     core_cells = cut(core.groupBy("cell").agg(F.min("key").alias("first_key")))
-    links = _link_cells(core, core_cells, xs, eps, side)
+    links = _link_cells(core, core_cells, xs, eps, side, sent)
     graph = links.unionByName(
         core_cells.select(_cell_name("cell").alias("a"), _cell_name("cell").alias("b"))
     )
@@ -66,8 +72,8 @@ def dbscan(
     )
     of_cell = cut(named.join(numbered, "component").select("cell", "cluster"))
     in_dense = (
-        located.join(dense, "cell", "left_semi")
-        .join(of_cell, "cell")
+        located.join(sent(dense), "cell", "left_semi")
+        .join(sent(of_cell), "cell")
         .select("key", "cluster", F.lit(True).alias("is_core"))
     )
     thin_core = tested.where("is_core").join(of_cell, "cell").select("key", "cluster", "is_core")
@@ -115,16 +121,17 @@ def _around(cells: DataFrame, d: int, half: bool = False) -> DataFrame:
     )
 
 
-def _test_thin_points(located, thin, xs, eps, min_samples):
+def _test_thin_points(located, cells, thin, xs, eps, min_samples, sent):
     """Points of thin cells with their neighbours within eps, at most ``min_samples`` of them."""
-    points = located.join(thin, "cell", "left_semi")
+    points = located.join(sent(thin), "cell", "left_semi")
     if thin.limit(1).count() == 0:
         kind = located.schema["key"].dataType.simpleString()
         entry = f"struct<d2: double, key: {kind}, payload: double, pos: array<double>>"
         empty = F.expr(f"cast(array() as array<{entry}>)")
         return points.select("key", *xs, "cell", empty.alias("near"), F.lit(False).alias("is_core"))
-    zone = _around(thin, len(xs)).select(F.col("other").alias("cell")).distinct()
-    candidates = located.join(zone, "cell", "left_semi")
+    around = _around(thin, len(xs)).select(F.col("other").alias("cell")).distinct()
+    zone = cut(cells.select("cell").join(around, "cell", "left_semi"))
+    candidates = located.join(sent(zone), "cell", "left_semi")
     found = with_neighbours(points, candidates, xs, min_samples, "key", keep=[*xs, "cell"])
     near = F.filter("neighbours", lambda n: n["d2"] <= F.lit(eps * eps))
     return found.select("key", *xs, "cell", near.alias("near")).withColumn(
@@ -132,7 +139,7 @@ def _test_thin_points(located, thin, xs, eps, min_samples):
     )
 
 
-def _link_cells(core, core_cells, xs, eps, side):
+def _link_cells(core, core_cells, xs, eps, side, sent):
     """(a, b): names of core cells that hold core points within eps of each other."""
     d = len(xs)
     bound = eps * eps
@@ -142,11 +149,11 @@ def _link_cells(core, core_cells, xs, eps, side):
         inside = [F.col(x) - F.col("cell")[i] * F.lit(side) for i, x in enumerate(xs)]
         return F.array(*[F.floor(v / F.lit(side) * F.lit(2.0**level)) for v in inside])
 
-    def nodes(level: int) -> DataFrame:
+    def nodes(level: int, rows: DataFrame) -> DataFrame:
         # After the last halving every position is a node of its own, which leaves nothing open.
         sub = halved(level) if level <= MAX_HALVINGS else F.array(*xs)
         return (
-            core.groupBy("cell", sub.alias("sub"), halved(max(level - 1, 0)).alias("parent"))
+            rows.groupBy("cell", sub.alias("sub"), halved(max(level - 1, 0)).alias("parent"))
             .agg(
                 F.array(*[F.min(x) for x in xs]).alias("lo"),
                 F.array(*[F.max(x) for x in xs]).alias("hi"),
@@ -163,7 +170,7 @@ def _link_cells(core, core_cells, xs, eps, side):
     def side_of(table: DataFrame, prefix: str) -> DataFrame:
         return table.select(*[F.col(c).alias(f"{prefix}{c}") for c in table.columns])
 
-    first = cut(nodes(0).drop("parent"))
+    first = cut(nodes(0, core).drop("parent"))
     pairs = (
         _around(core_cells.select("cell"), d, half=True)
         .withColumnsRenamed({"cell": "acell", "other": "bcell"})
@@ -187,7 +194,9 @@ def _link_cells(core, core_cells, xs, eps, side):
         still = judged.where(~F.col("linked")).join(found, ["acell", "bcell"], "left_anti")
         if level > MAX_HALVINGS or still.limit(1).count() == 0:
             break
-        finer = cut(nodes(level + 1))
+        # Only cells of open pairs are looked at more closely.
+        open_cells = still.select(F.explode(F.array("acell", "bcell")).alias("cell")).distinct()
+        finer = cut(nodes(level + 1, core.join(sent(open_cells), "cell", "left_semi")))
         a_side = side_of(finer, "a").withColumnRenamed("aparent", "asub_parent")
         b_side = side_of(finer, "b").withColumnRenamed("bparent", "bsub_parent")
         open_pairs = still.select(
