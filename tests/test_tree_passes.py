@@ -73,3 +73,15 @@ def test_no_learned_row_leaves_one_leaf():
     spec = forest.Spec()
     tree = forest.grow_rows(np.zeros((2, 3), np.uint8), np.ones((3, 2)), np.zeros(3, bool), spec, 0, forest.root_path(spec))
     assert len(tree) == 1 and tree.held.tolist() == [[3.0, 3.0]]
+
+
+def test_broken_sums_are_taken_row_by_row(monkeypatch):
+    """Amounts are not added up by bin: the last digits of their sums decide between equal splits."""
+    bins, node = np.array([[2, 1, 1, 0]], np.uint8), np.array([0, 0, 0, 1])
+    stats = np.array([[1.0, 1.0, 1.0, 1.0], [0.1, 0.2, 0.3, 0.4]])
+    monkeypatch.setattr(forest, "CELLS_PER_ROW", 1e9)
+    wanted = np.ones(2, bool)
+    at, b, sums = forest.Rows(bins, stats, node, False).ordered(0, wanted)
+    assert at.tolist() == [0, 0, 0, 1] and b.tolist() == [1, 1, 2, 0] and sums[:, 1].tolist() == [0.2, 0.3, 0.1, 0.4]
+    at, b, sums = forest.Rows(bins, stats, node, True).ordered(0, wanted)
+    assert at.tolist() == [0, 0, 1] and b.tolist() == [1, 2, 0] and sums[:, 0].tolist() == [2.0, 1.0, 1.0]
